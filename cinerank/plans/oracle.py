@@ -29,6 +29,76 @@ V_EVENT_RATINGS = f"""event_ratings AS (
   FROM events)"""
 
 
+V_VECTORS = """item_vectors AS (
+  SELECT CAST(vec_id AS INTEGER) AS mid, CAST(embedding AS DOUBLE[]) AS features FROM embeddings)"""
+
+
+def v_edges(t: float, name: str = "edges") -> str:
+    """Ordered pairs of different items with cosine (rounded to 6) above t."""
+    return f"""{name} AS (
+  SELECT mid, rid, r FROM (
+    SELECT a.mid, b.mid AS rid, round(list_cosine_similarity(a.features, b.features), 6) AS r
+    FROM item_vectors a JOIN item_vectors b ON a.mid <> b.mid)
+  WHERE r > {t} AND NOT isnan(r))"""
+
+
+V_TRIGGERS = """triggers AS (
+  SELECT uid, mid FROM (
+    SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS pos
+    FROM event_ratings) WHERE pos = 1)"""
+
+V_RECENTS = """recents AS (
+  SELECT uid, mid, score, "timestamp", CAST(pos AS INTEGER) AS pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS pos
+    FROM event_ratings) WHERE pos <= 21)"""
+
+V_RATED = "rated AS (SELECT DISTINCT uid, mid FROM event_ratings)"
+
+V_UNRATED = """unrated AS (
+  SELECT t.uid, t.mid, e.rid, e.r FROM triggers t JOIN edges e ON t.mid = e.mid
+  WHERE NOT EXISTS (SELECT 1 FROM rated x WHERE x.uid = t.uid AND x.mid = e.rid))"""
+
+V_CANDIDATES = """candidates AS (
+  SELECT uid, mid, rid, r, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY r DESC, rid) AS rank FROM unrated)
+  WHERE rank <= 20)"""
+
+
+def v_rerank(name: str, up: str) -> str:
+    return f"""{name} AS (
+  SELECT c.uid, c.cand AS mid,
+         floor(CAST(sum(CAST(round(e.r * 1000000) AS BIGINT) * CAST(round(rc.score * 10000) AS BIGINT)) AS DOUBLE)
+               / CAST(10000 * count(*) AS DOUBLE)
+               + (log2(greatest(count_if({up}), 1)) - log2(greatest(count_if(NOT ({up})), 1))) * 1000000 + 0.5) / 1000000 AS score
+  FROM (SELECT DISTINCT uid, rid AS cand FROM candidates) c
+  JOIN recents rc ON c.uid = rc.uid
+  JOIN edges e ON e.mid = c.cand AND e.rid = rc.mid
+  WHERE e.r > 0.2
+  GROUP BY c.uid, c.cand)"""
+
+
+ONLINE = [V_EVENT_RATINGS, V_VECTORS, v_edges(0.2), V_TRIGGERS, V_RECENTS, V_RATED, V_UNRATED, V_CANDIDATES]
+
+
+def pack(view: str, key: str, rid: str, r: str, order: str) -> str:
+    return (f"SELECT {key}, string_agg(CAST({rid} AS VARCHAR) || ':' || CAST({r} AS VARCHAR), '|' ORDER BY {order}) AS recs "
+            f"FROM {view} GROUP BY {key}")
+
+
+def merged(dedupe: bool, order: str, only_existing: bool) -> str:
+    old_filter = "" if only_existing else ""
+    new_filter = "WHERE uid IN (SELECT uid FROM rerank_ge)" if only_existing else ""
+    dd = ("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, rid ORDER BY nw DESC, r DESC) AS d FROM both_lists) WHERE d = 1"
+          if dedupe else "SELECT * FROM both_lists")
+    return f""",
+new_rows AS (SELECT uid, mid AS rid, score AS r, 1 AS nw FROM rerank {new_filter}),
+old_rows AS (SELECT uid, mid AS rid, score AS r, 0 AS nw FROM rerank_ge WHERE uid IN (SELECT uid FROM new_rows) {old_filter}),
+both_lists AS (SELECT * FROM old_rows UNION ALL SELECT * FROM new_rows),
+kept AS ({dd}),
+ranked_lists AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY {order}, rid) AS rank FROM kept)
+""" + pack("(SELECT * FROM ranked_lists WHERE rank <= 20)", "uid", "rid", "r", "rank")
+
+
 def half_up_avg(score: str = "score", places: int = 2) -> str:
     """Exact half-up of avg(score) for scores on a 0.5 grid, as a DOUBLE."""
     m = 10**places
@@ -74,6 +144,23 @@ FROM ranked WHERE rank <= 10 GROUP BY gen""",
     "recent_top10": with_views(V_RATINGS) + """SELECT mid, count(*) AS count FROM ratings
 WHERE "timestamp" > (SELECT max("timestamp") - 7776000 FROM ratings)
 GROUP BY mid ORDER BY count DESC, mid LIMIT 10""",
+    "similar_pairs": with_views(V_VECTORS, v_edges(0.3)) + "SELECT mid, rid, r FROM edges",
+    "similar_lists": with_views(V_VECTORS, v_edges(0.3)) + pack("edges", "mid", "rid", "r", "r DESC, rid"),
+    "recent_ratings": with_views(V_EVENT_RATINGS, V_RECENTS) + "SELECT * FROM recents",
+    "rated_exclusion": with_views(*ONLINE[:-1]) + "SELECT * FROM unrated",
+    "candidates": with_views(*ONLINE) + "SELECT * FROM candidates",
+    "candidates_cut_first": with_views(*ONLINE[:-2]) + """SELECT uid, mid, rid, r, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT t.uid, t.mid, e.rid, e.r, row_number() OVER (PARTITION BY t.uid, t.mid ORDER BY e.r DESC, e.rid) AS rank
+  FROM triggers t JOIN edges e ON t.mid = e.mid) top
+WHERE rank <= 20 AND NOT EXISTS (SELECT 1 FROM rated x WHERE x.uid = top.uid AND x.mid = top.rid)""",
+    "rerank": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3")) + "SELECT * FROM rerank",
+    "rerank_ge": with_views(*ONLINE, v_rerank("rerank", "rc.score >= 3")) + "SELECT * FROM rerank",
+    "packed_recs": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3")) + pack("rerank", "uid", "mid", "score", "score DESC, mid"),
+    "unpacked_recs": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3")) + "SELECT uid, mid AS rid, score AS r FROM rerank",
+    "merged_recs": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3"), v_rerank("rerank_ge", "rc.score >= 3"))[:-1]
+    + merged(True, "r DESC", False),
+    "merged_recs_literal": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3"), v_rerank("rerank_ge", "rc.score >= 3"))[:-1]
+    + merged(False, "r ASC", True),
     "items_with_tags": with_views(V_MOVIES, V_TAGS) + """SELECT m.mid, m.name, m.genres, t.tags FROM movies m
 LEFT JOIN (SELECT mid, coalesce(string_agg(DISTINCT tag, '|' ORDER BY tag), '') AS tags FROM tags GROUP BY mid) t
 ON m.mid = t.mid""",

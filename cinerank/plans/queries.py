@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cinerank.functions.recs import pack_recs
-from cinerank.operators import catalogue, stats
+from cinerank.operators import catalogue, online, similarity, stats
 from cinerank.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # thresholds for the fixture data: the defaults (3.5 / 50) select no item there
 HQ_MIN_AVG, HQ_MIN_COUNT = 3.2, 25
+# similarity thresholds for the fixture vectors: no pair reaches the default 0.6
+EDGE_T = 0.2  # the similarity table used by the online queries
+PAIR_T = 0.3  # the similarity queries
+ROUND = 6  # cosines and scores are rounded to 6 places on both sides of the check
 
 
 def q_rating_counts(spark, d):
@@ -57,6 +61,77 @@ def q_items_with_tags(spark, d):
     return catalogue.movies_with_tags(fx.movies(spark, d), fx.tags(spark, d))
 
 
+def edges(spark, d, t=EDGE_T):
+    return similarity.similar_pairs(fx.item_vectors(spark, d), t, round_to=ROUND)
+
+
+def triggers(spark, d):
+    """The newest event of each user is that user's trigger."""
+    return online.newest_per_user(fx.event_ratings(spark, d), 1).select("uid", "mid", "timestamp")
+
+
+def q_similar_pairs(spark, d):
+    return edges(spark, d, PAIR_T)
+
+
+def q_similar_lists(spark, d):
+    return similarity.similar_lists(edges(spark, d, PAIR_T)).select("mid", pack_recs("recs").alias("recs"))
+
+
+def q_similar_pairs_lsh(spark, d):
+    return similarity.similar_pairs_lsh(fx.item_vectors(spark, d), PAIR_T, round_to=ROUND)
+
+
+def q_recent_ratings(spark, d):
+    return online.recent_ratings(fx.event_ratings(spark, d), 21)
+
+
+def q_rated_exclusion(spark, d):
+    return online.similar_unrated(triggers(spark, d), edges(spark, d), fx.event_ratings(spark, d))
+
+
+def q_candidates(spark, d):
+    return online.candidates(triggers(spark, d), edges(spark, d), fx.event_ratings(spark, d), 20)
+
+
+def q_candidates_cut_first(spark, d):
+    return online.candidates(triggers(spark, d), edges(spark, d), fx.event_ratings(spark, d), 20, filter_first=False)
+
+
+def rerank(spark, d, boundary="gt"):
+    er = fx.event_ratings(spark, d)
+    e = edges(spark, d)
+    t = triggers(spark, d)
+    cands = online.candidates(t, e, er, 20)
+    recents = online.recent_ratings(er, 21, users=t)
+    return online.rerank(cands, recents, e, EDGE_T, boundary, 3.0, round_to=ROUND)
+
+
+def q_rerank(spark, d):
+    return rerank(spark, d, "gt")
+
+
+def q_rerank_ge(spark, d):
+    return rerank(spark, d, "ge")
+
+
+def q_packed_recs(spark, d):
+    return online.packed_lists(rerank(spark, d))
+
+
+def q_unpacked_recs(spark, d):
+    return online.unpacked_rows(online.packed_lists(rerank(spark, d)))
+
+
+def q_merged_recs(spark, d):
+    return online.merge_lists(online.packed_lists(rerank(spark, d, "ge")), rerank(spark, d), 20)
+
+
+def q_merged_recs_literal(spark, d):
+    old = online.packed_lists(rerank(spark, d, "ge"))
+    return online.merge_lists(old, rerank(spark, d), 20, dedupe=False, order="asc", only_existing=True)
+
+
 QUERIES: dict[str, Query] = {
     "rating_counts": q_rating_counts,
     "monthly_rating_counts": q_monthly_rating_counts,
@@ -68,4 +143,17 @@ QUERIES: dict[str, Query] = {
     "high_quality_events": q_high_quality_events,
     "recent_top10": q_recent_top10,
     "items_with_tags": q_items_with_tags,
+    "similar_pairs": q_similar_pairs,
+    "similar_lists": q_similar_lists,
+    "similar_pairs_lsh": q_similar_pairs_lsh,
+    "recent_ratings": q_recent_ratings,
+    "rated_exclusion": q_rated_exclusion,
+    "candidates": q_candidates,
+    "candidates_cut_first": q_candidates_cut_first,
+    "rerank": q_rerank,
+    "rerank_ge": q_rerank_ge,
+    "packed_recs": q_packed_recs,
+    "unpacked_recs": q_unpacked_recs,
+    "merged_recs": q_merged_recs,
+    "merged_recs_literal": q_merged_recs_literal,
 }
