@@ -144,6 +144,17 @@ FROM ranked WHERE rank <= 10 GROUP BY gen""",
     "recent_top10": with_views(V_RATINGS) + """SELECT mid, count(*) AS count FROM ratings
 WHERE "timestamp" > (SELECT max("timestamp") - 7776000 FROM ratings)
 GROUP BY mid ORDER BY count DESC, mid LIMIT 10""",
+    "text_load_movies": """SELECT CAST(p_partkey AS INTEGER) AS mid, p_name AS name,
+  'A ' || p_name || ' of brand ' || p_brand AS descri, CAST(p_size AS VARCHAR) || ' minutes' AS timelong,
+  'August 26, 1997' AS issue, '1995' AS shoot, 'English' AS language,
+  concat_ws('|', p_type, replace(p_name, ' ', '|')) AS genres, replace(p_name, ' ', '|') AS actors, p_brand AS directors
+FROM part""",
+    "text_load_ratings": with_views(V_RATINGS) + "SELECT * FROM ratings",
+    "text_load_tags": with_views(V_TAGS) + "SELECT * FROM tags",
+    "layout_roundtrip": with_views(V_RATINGS) + "SELECT * FROM ratings",
+    "search_documents": with_views(V_MOVIES, V_TAGS) + """SELECT m.mid AS _id, m.mid, m.name, m.genres, t.tags FROM movies m
+LEFT JOIN (SELECT mid, coalesce(string_agg(DISTINCT tag, '|' ORDER BY tag), '') AS tags FROM tags GROUP BY mid) t
+ON m.mid = t.mid""",
     "similar_pairs": with_views(V_VECTORS, v_edges(0.3)) + "SELECT mid, rid, r FROM edges",
     "similar_lists": with_views(V_VECTORS, v_edges(0.3)) + pack("edges", "mid", "rid", "r", "r DESC, rid"),
     "recent_ratings": with_views(V_EVENT_RATINGS, V_RECENTS) + "SELECT * FROM recents",

@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cinerank.functions.recs import pack_recs
+from cinerank import sinks
 from cinerank.operators import catalogue, online, similarity, stats
+from cinerank.session import scratch_path
 from cinerank.sources import fixtures as fx
+from cinerank.sources import text as text_src
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +65,40 @@ def q_items_with_tags(spark, d):
     return catalogue.movies_with_tags(fx.movies(spark, d), fx.tags(spark, d))
 
 
+def q_text_load_movies(spark, d):
+    """Write the catalogue as caret-delimited text, then load it with the catalogue scan."""
+    path = scratch_path(spark, "movies-text")
+    m = fx.movies_full(spark, d)
+    m.select(F.concat_ws("^", *[F.col(c).cast("string") for c in m.columns]).alias("value")).write.text(path)
+    return text_src.load_movies_text(spark, path)
+
+
+def q_text_load_ratings(spark, d):
+    path = scratch_path(spark, "ratings-text")
+    fx.ratings(spark, d).write.csv(path)
+    return text_src.load_ratings_text(spark, path)
+
+
+def q_text_load_tags(spark, d):
+    path = scratch_path(spark, "tags-text")
+    fx.tags(spark, d).write.csv(path)
+    return text_src.load_tags_text(spark, path)
+
+
+def q_layout_roundtrip(spark, d):
+    """Ratings written range-partitioned and sorted by uid, read back."""
+    path = scratch_path(spark, "ratings-layout")
+    sinks.write_layout(fx.ratings(spark, d), path, "uid")
+    return spark.read.parquet(path)
+
+
+def q_search_documents(spark, d):
+    """Catalogue with tags exported as one JSON document per item, read back."""
+    path = scratch_path(spark, "search-docs")
+    sinks.export_documents(catalogue.movies_with_tags(fx.movies(spark, d), fx.tags(spark, d)), path)
+    return spark.read.schema("_id int, mid int, name string, genres string, tags string").json(path)
+
+
 def edges(spark, d, t=EDGE_T):
     return similarity.similar_pairs(fx.item_vectors(spark, d), t, round_to=ROUND)
 
@@ -143,6 +181,11 @@ QUERIES: dict[str, Query] = {
     "high_quality_events": q_high_quality_events,
     "recent_top10": q_recent_top10,
     "items_with_tags": q_items_with_tags,
+    "text_load_movies": q_text_load_movies,
+    "text_load_ratings": q_text_load_ratings,
+    "text_load_tags": q_text_load_tags,
+    "layout_roundtrip": q_layout_roundtrip,
+    "search_documents": q_search_documents,
     "similar_pairs": q_similar_pairs,
     "similar_lists": q_similar_lists,
     "similar_pairs_lsh": q_similar_pairs_lsh,
