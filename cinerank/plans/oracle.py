@@ -172,6 +172,9 @@ WHERE rank <= 20 AND NOT EXISTS (SELECT 1 FROM rated x WHERE x.uid = top.uid AND
     + merged(True, "r DESC", False),
     "merged_recs_literal": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3"), v_rerank("rerank_ge", "rc.score >= 3"))[:-1]
     + merged(False, "r ASC", True),
+    "stream_recs": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3"),
+                              "packed AS (" + pack("rerank", "uid", "mid", "score", "score DESC, mid") + ")")
+    + "SELECT t.uid, coalesce(p.recs, '') AS recs FROM triggers t LEFT JOIN packed p ON t.uid = p.uid",
     "items_with_tags": with_views(V_MOVIES, V_TAGS) + """SELECT m.mid, m.name, m.genres, t.tags FROM movies m
 LEFT JOIN (SELECT mid, coalesce(string_agg(DISTINCT tag, '|' ORDER BY tag), '') AS tags FROM tags GROUP BY mid) t
 ON m.mid = t.mid""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cinerank.functions.recs import pack_recs
 from cinerank import sinks
-from cinerank.operators import catalogue, online, similarity, stats
+from cinerank.operators import catalogue, model, online, similarity, stats
 from cinerank.session import scratch_path
 from cinerank.sources import fixtures as fx
 from cinerank.sources import text as text_src
@@ -170,6 +170,53 @@ def q_merged_recs_literal(spark, d):
     return online.merge_lists(old, rerank(spark, d), 20, dedupe=False, order="asc", only_existing=True)
 
 
+def q_stream_recs(spark, d):
+    """Event ratings streamed as ``UID|MID|SCORE|TIMESTAMP`` lines through the online recommender.
+
+    All message files are available at start, so ``availableNow`` handles them in one
+    micro-batch and the lists equal the batch ``packed_recs`` (plus '' for users with no
+    scored candidate).
+    """
+    from cinerank.streaming.recommender import current_lists, rating_stream, start_recommender
+
+    base = scratch_path(spark, "stream")
+    er = fx.event_ratings(spark, d)
+    er.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value")).write.text(f"{base}/in")
+    e = edges(spark, d).checkpoint(eager=True)
+    q = start_recommender(
+        rating_stream(spark, "text", f"{base}/in"), er, e, f"{base}/out", f"{base}/checkpoint",
+        trigger={"availableNow": True}, k=20, n_recent=21, threshold=EDGE_T, round_to=ROUND,
+    )
+    q.awaitTermination()
+    return current_lists(spark, f"{base}/out")
+
+
+def als_model(spark, d):
+    return model.train_als(fx.ratings(spark, d), model.RANK, model.MAX_ITER, model.REG, seed=42)
+
+
+def q_als_user_recs(spark, d):
+    r = fx.ratings(spark, d)
+    return model.user_recommendations(als_model(spark, d), r, fx.movies(spark, d), 20)
+
+
+def q_als_user_recs_blocked(spark, d):
+    r = fx.ratings(spark, d)
+    return model.user_recommendations(als_model(spark, d), r, fx.movies(spark, d), 20, method="blocked")
+
+
+def q_als_item_similarity(spark, d):
+    return model.item_similarity(als_model(spark, d), 0.6)
+
+
+def q_als_rmse(spark, d):
+    return model.rmse(als_model(spark, d), fx.ratings(spark, d))
+
+
+def q_als_grid(spark, d):
+    return model.tune_als(fx.ratings(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "rating_counts": q_rating_counts,
     "monthly_rating_counts": q_monthly_rating_counts,
@@ -199,4 +246,10 @@ QUERIES: dict[str, Query] = {
     "unpacked_recs": q_unpacked_recs,
     "merged_recs": q_merged_recs,
     "merged_recs_literal": q_merged_recs_literal,
+    "stream_recs": q_stream_recs,
+    "als_user_recs": q_als_user_recs,
+    "als_user_recs_blocked": q_als_user_recs_blocked,
+    "als_item_similarity": q_als_item_similarity,
+    "als_rmse": q_als_rmse,
+    "als_grid": q_als_grid,
 }
