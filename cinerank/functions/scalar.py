@@ -87,7 +87,9 @@ def register_sql_functions(spark: SparkSession) -> None:
         "CAST(year(date_from_unix_date(CAST(floor(ts / 86400) AS INT))) * 100 + "
         "month(date_from_unix_date(CAST(floor(ts / 86400) AS INT))) AS INT)"
     )
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION halfUp(x DOUBLE, scale INT) RETURNS DOUBLE RETURN round(x, scale)")
+    # round() needs a constant scale: one branch per scale, folded when the call passes a literal
+    branches = " ".join(f"WHEN {i} THEN round(x, {i})" for i in range(10))
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION halfUp(x DOUBLE, scale INT) RETURNS DOUBLE RETURN CASE scale {branches} END")
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION splitGe(g STRING) RETURNS ARRAY<STRING> "
         "RETURN split(regexp_replace(g, '[|]+$', ''), '[|]')"

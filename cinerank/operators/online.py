@@ -22,11 +22,13 @@ MAX_BROADCAST_KEYS = 2_000_000
 def restrict(big: DataFrame, keys: DataFrame, on: list[str], max_broadcast_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Rows of ``big`` whose ``on`` columns appear in ``keys`` (left semi-join).
 
-    When the distinct key set has at most ``max_broadcast_rows`` rows it is broadcast, so
-    ``big`` is filtered in its scan tasks without a shuffle; the count is the size check.
-    Above that, a plain semi-join lets Spark shuffle both sides.
+    The distinct key set is written once by a reliable checkpoint (shared folder), so its
+    upstream runs once and no cached copy outlives the job.  When it has at most
+    ``max_broadcast_rows`` rows it is broadcast and ``big`` is filtered in its scan tasks
+    without a shuffle; the count is the size check.  Above that, a plain semi-join lets
+    Spark shuffle both sides.
     """
-    k = keys.select(*on).distinct()
+    k = keys.select(*on).distinct().checkpoint(eager=True)
     if k.count() <= max_broadcast_rows:
         k = F.broadcast(k)
     return big.join(k, on, "left_semi")

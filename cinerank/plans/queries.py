@@ -100,7 +100,9 @@ def q_search_documents(spark, d):
 
 
 def edges(spark, d, t=EDGE_T):
-    return similarity.similar_pairs(fx.item_vectors(spark, d), t, round_to=ROUND)
+    """The item similarity table, computed once per query and pinned in the shared folder
+    (the stored similarity table of a deployment)."""
+    return similarity.similar_pairs(fx.item_vectors(spark, d), t, round_to=ROUND).checkpoint(eager=True)
 
 
 def triggers(spark, d):
@@ -182,7 +184,7 @@ def q_stream_recs(spark, d):
     base = scratch_path(spark, "stream")
     er = fx.event_ratings(spark, d)
     er.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value")).write.text(f"{base}/in")
-    e = edges(spark, d).checkpoint(eager=True)
+    e = edges(spark, d)
     q = start_recommender(
         rating_stream(spark, "text", f"{base}/in"), er, e, f"{base}/out", f"{base}/checkpoint",
         trigger={"availableNow": True}, k=20, n_recent=21, threshold=EDGE_T, round_to=ROUND,
