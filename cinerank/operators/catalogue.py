@@ -18,3 +18,15 @@ def tag_lists(tags: DataFrame, sep: str = "|") -> DataFrame:
 def movies_with_tags(movies: DataFrame, tags: DataFrame, sep: str = "|") -> DataFrame:
     """Every catalogue item with its tag list (null when the item has no tag)."""
     return movies.join(tag_lists(tags, sep), "mid", "left")
+
+
+def user_item_pair_counts(ratings: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Size of each user's slice of users x catalogue: ``uid, n_pairs``.
+
+    The reference forms the product of distinct users and catalogue ids before scoring;
+    the product itself is never needed as rows (scoring is blocked, see
+    ``model.user_recommendations``).  Its per-user size is the catalogue row count, taken
+    by a scalar subquery, so nothing quadratic is planned.
+    """
+    n_items = catalogue.select(F.count(F.lit(1))).scalar()
+    return ratings.select("uid").distinct().select("uid", n_items.alias("n_pairs"))

@@ -15,22 +15,26 @@ from pyspark.sql import functions as F
 from cinerank.functions.recs import pack_recs, recs_array, unpack_recs
 from cinerank.functions.scalar import log2_count
 from cinerank.operators.ranking import top_n_per_group
+from cinerank.session import materialize
 
 MAX_BROADCAST_KEYS = 2_000_000
 
 
-def restrict(big: DataFrame, keys: DataFrame, on: list[str], max_broadcast_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def restrict(big: DataFrame, keys: DataFrame, on: list[str], max_broadcast_rows: int | None = None) -> DataFrame:
     """Rows of ``big`` whose ``on`` columns appear in ``keys`` (left semi-join).
 
-    The distinct key set is written once by a reliable checkpoint (shared folder), so its
-    upstream runs once and no cached copy outlives the job.  When it has at most
-    ``max_broadcast_rows`` rows it is broadcast and ``big`` is filtered in its scan tasks
-    without a shuffle; the count is the size check.  Above that, a plain semi-join lets
-    Spark shuffle both sides.
+    Callers pass a small side that is a written table (``materialize``): the planner then
+    knows its real size and plans a broadcast semi-join when it is under
+    ``spark.sql.autoBroadcastJoinThreshold``, so ``big`` is filtered in its scan tasks
+    and never shuffled; above the threshold it plans a shuffle join.  With
+    ``max_broadcast_rows`` the distinct keys are counted instead and broadcast when at
+    most that many (an explicit size check for a small side that is not a table).
     """
-    k = keys.select(*on).distinct().checkpoint(eager=True)
-    if k.count() <= max_broadcast_rows:
-        k = F.broadcast(k)
+    k = keys.select(*on).distinct()
+    if max_broadcast_rows is not None:
+        k = materialize(k, "keys")
+        if k.count() <= max_broadcast_rows:
+            k = F.broadcast(k)
     return big.join(k, on, "left_semi")
 
 

@@ -149,6 +149,8 @@ GROUP BY mid ORDER BY count DESC, mid LIMIT 10""",
   'August 26, 1997' AS issue, '1995' AS shoot, 'English' AS language,
   concat_ws('|', p_type, replace(p_name, ' ', '|')) AS genres, replace(p_name, ' ', '|') AS actors, p_brand AS directors
 FROM part""",
+    "user_item_pairs": with_views(V_RATINGS, V_MOVIES)
+    + "SELECT DISTINCT uid, (SELECT count(*) FROM movies) AS n_pairs FROM ratings",
     "text_load_ratings": with_views(V_RATINGS) + "SELECT * FROM ratings",
     "text_load_tags": with_views(V_TAGS) + "SELECT * FROM tags",
     "layout_roundtrip": with_views(V_RATINGS) + "SELECT * FROM ratings",

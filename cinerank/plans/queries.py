@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cinerank.functions.recs import pack_recs
 from cinerank import sinks
 from cinerank.operators import catalogue, model, online, similarity, stats
-from cinerank.session import scratch_path
+from cinerank.session import materialize, scratch_path
 from cinerank.sources import fixtures as fx
 from cinerank.sources import text as text_src
 
@@ -65,6 +65,10 @@ def q_items_with_tags(spark, d):
     return catalogue.movies_with_tags(fx.movies(spark, d), fx.tags(spark, d))
 
 
+def q_user_item_pairs(spark, d):
+    return catalogue.user_item_pair_counts(fx.ratings(spark, d), fx.movies(spark, d))
+
+
 def q_text_load_movies(spark, d):
     """Write the catalogue as caret-delimited text, then load it with the catalogue scan."""
     path = scratch_path(spark, "movies-text")
@@ -102,12 +106,13 @@ def q_search_documents(spark, d):
 def edges(spark, d, t=EDGE_T):
     """The item similarity table, computed once per query and pinned in the shared folder
     (the stored similarity table of a deployment)."""
-    return similarity.similar_pairs(fx.item_vectors(spark, d), t, round_to=ROUND).checkpoint(eager=True)
+    return materialize(similarity.similar_pairs(fx.item_vectors(spark, d), t, round_to=ROUND), "edges")
 
 
 def triggers(spark, d):
-    """The newest event of each user is that user's trigger."""
-    return online.newest_per_user(fx.event_ratings(spark, d), 1).select("uid", "mid", "timestamp")
+    """The newest event of each user is that user's trigger (written once: the small side
+    of the joins that follow)."""
+    return materialize(online.newest_per_user(fx.event_ratings(spark, d), 1).select("uid", "mid", "timestamp"), "triggers")
 
 
 def q_similar_pairs(spark, d):
@@ -142,7 +147,7 @@ def rerank(spark, d, boundary="gt"):
     er = fx.event_ratings(spark, d)
     e = edges(spark, d)
     t = triggers(spark, d)
-    cands = online.candidates(t, e, er, 20)
+    cands = materialize(online.candidates(t, e, er, 20), "candidates")
     recents = online.recent_ratings(er, 21, users=t)
     return online.rerank(cands, recents, e, EDGE_T, boundary, 3.0, round_to=ROUND)
 
@@ -193,30 +198,36 @@ def q_stream_recs(spark, d):
     return current_lists(spark, f"{base}/out")
 
 
-def als_model(spark, d):
-    return model.train_als(fx.ratings(spark, d), model.RANK, model.MAX_ITER, model.REG, seed=42)
+def stored_ratings(spark, d):
+    """The ratings written once to the shared folder: the model jobs read them several times."""
+    return materialize(fx.ratings(spark, d), "ratings")
+
+
+def als_model(spark, r):
+    return model.train_als(r, model.RANK, model.MAX_ITER, model.REG, seed=42)
 
 
 def q_als_user_recs(spark, d):
-    r = fx.ratings(spark, d)
-    return model.user_recommendations(als_model(spark, d), r, fx.movies(spark, d), 20)
+    r = stored_ratings(spark, d)
+    return model.user_recommendations(als_model(spark, r), r, fx.movies(spark, d), 20)
 
 
 def q_als_user_recs_blocked(spark, d):
-    r = fx.ratings(spark, d)
-    return model.user_recommendations(als_model(spark, d), r, fx.movies(spark, d), 20, method="blocked")
+    r = stored_ratings(spark, d)
+    return model.user_recommendations(als_model(spark, r), r, fx.movies(spark, d), 20, method="blocked")
 
 
 def q_als_item_similarity(spark, d):
-    return model.item_similarity(als_model(spark, d), 0.6)
+    return model.item_similarity(als_model(spark, stored_ratings(spark, d)), 0.6)
 
 
 def q_als_rmse(spark, d):
-    return model.rmse(als_model(spark, d), fx.ratings(spark, d))
+    r = stored_ratings(spark, d)
+    return model.rmse(als_model(spark, r), r)
 
 
 def q_als_grid(spark, d):
-    return model.tune_als(fx.ratings(spark, d))
+    return model.tune_als(stored_ratings(spark, d))
 
 
 QUERIES: dict[str, Query] = {
@@ -230,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "high_quality_events": q_high_quality_events,
     "recent_top10": q_recent_top10,
     "items_with_tags": q_items_with_tags,
+    "user_item_pairs": q_user_item_pairs,
     "text_load_movies": q_text_load_movies,
     "text_load_ratings": q_text_load_ratings,
     "text_load_tags": q_text_load_tags,

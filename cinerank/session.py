@@ -69,3 +69,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (for round trips and versioned outputs)."""
     return f"{shared_dir(spark)}/cinerank-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared folder and return the table read back.
+
+    Cuts lineage like a reliable checkpoint but computes the input only once (an eager
+    ``checkpoint()`` runs it twice when it is not cached), survives lost executors, and
+    gives the planner the real size of the result.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
