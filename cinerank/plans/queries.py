@@ -143,11 +143,17 @@ def q_candidates_cut_first(spark, d):
     return online.candidates(triggers(spark, d), edges(spark, d), fx.event_ratings(spark, d), 20, filter_first=False)
 
 
-def rerank(spark, d, boundary="gt"):
+def online_inputs(spark, d):
+    """Event ratings, the stored similarity table, the triggers and their candidates."""
     er = fx.event_ratings(spark, d)
     e = edges(spark, d)
     t = triggers(spark, d)
     cands = materialize(online.candidates(t, e, er, 20), "candidates")
+    return er, e, t, cands
+
+
+def rerank(spark, d, boundary="gt", inputs=None):
+    er, e, t, cands = inputs or online_inputs(spark, d)
     recents = online.recent_ratings(er, 21, users=t)
     return online.rerank(cands, recents, e, EDGE_T, boundary, 3.0, round_to=ROUND)
 
@@ -169,12 +175,16 @@ def q_unpacked_recs(spark, d):
 
 
 def q_merged_recs(spark, d):
-    return online.merge_lists(online.packed_lists(rerank(spark, d, "ge")), rerank(spark, d), 20)
+    """Lists scored with the 'ge' rule merged with new 'gt' scores (newest score per item)."""
+    inputs = online_inputs(spark, d)
+    old = online.packed_lists(rerank(spark, d, "ge", inputs))
+    return online.merge_lists(old, rerank(spark, d, "gt", inputs), 20)
 
 
 def q_merged_recs_literal(spark, d):
-    old = online.packed_lists(rerank(spark, d, "ge"))
-    return online.merge_lists(old, rerank(spark, d), 20, dedupe=False, order="asc", only_existing=True)
+    inputs = online_inputs(spark, d)
+    old = online.packed_lists(rerank(spark, d, "ge", inputs))
+    return online.merge_lists(old, rerank(spark, d, "gt", inputs), 20, dedupe=False, order="asc", only_existing=True)
 
 
 def q_stream_recs(spark, d):
