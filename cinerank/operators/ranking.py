@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinerank.session import materialize
+
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, out: str = "rank") -> DataFrame:
     """``row_number() over (partition by keys order by order) <= n``.
@@ -23,14 +25,14 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank",
     """Row numbers 1..N over the whole input in ``order`` without a single-task window.
 
     The input is range-partitioned on the order (a distributed sort), each row tagged with
-    its range partition and pinned by a reliable checkpoint, so the partition of a row
+    its range partition and written once to the shared folder, so the partition of a row
     cannot change between the two uses below.  The per-partition counts (one row per
     partition, so bounded by ``partitions``) give each range its offset; the rows are then
     numbered inside their range by a window partitioned by range.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    ranged = materialize(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -84,3 +84,17 @@ def test_layout_and_export(spark, tmp_dir):
     sinks.export_documents(dup, e)
     back = spark.read.json(e)
     assert sorted(r["_id"] for r in back.collect()) == [1, 2]
+
+
+def test_write_table_and_bucketed(spark, tmp_dir):
+    df = spark.range(40).select(F.col("id").cast("int").alias("uid"), (F.col("id") % 5).cast("int").alias("mid"))
+    p = os.path.join(tmp_dir, "full")
+    sinks.write_table(df, p)
+    sinks.write_table(df.limit(3), p)  # full refresh replaces the previous content
+    assert spark.read.parquet(p).count() == 3
+    sinks.write_bucketed(df, "ratings_by_uid", "uid", 4, path=os.path.join(tmp_dir, "bucketed"))
+    t = spark.table("ratings_by_uid")
+    assert t.count() == 40
+    j = t.join(spark.table("ratings_by_uid").withColumnRenamed("mid", "m2"), "uid")
+    assert "Exchange hashpartitioning" not in j._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP TABLE ratings_by_uid")
