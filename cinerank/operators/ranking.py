@@ -30,9 +30,9 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank",
     partition, so bounded by ``partitions``) give each range its offset; the rows are then
     numbered inside their range by a window partitioned by range.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "ranged")
+    # without an explicit count AQE may coalesce adjacent ranges, which keeps them ordered
+    parted = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = materialize(parted.withColumn("_pid", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

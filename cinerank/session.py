@@ -71,7 +71,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cinerank-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, base: str | None = None):
     """Write ``df`` once as parquet under the shared folder and return the table read back.
 
     Cuts lineage like a reliable checkpoint but computes the input only once (an eager
@@ -79,6 +79,13 @@ def materialize(df, name: str):
     gives the planner the real size of the result.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = f"{base.rstrip('/')}/{name}" if base else scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path this library wrote (through the Hadoop file system of the path)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
