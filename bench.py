@@ -49,7 +49,7 @@ def main() -> None:
     qs = dict(QUERIES, als_fit=als_fit)
     # warm the JVM and the Python workers once (not timed)
     fx.ratings(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    spark.range(64).groupBy((F.col("id") % 8).alias("k")).applyInPandas(lambda p: p, "k long, id long") \
+    spark.range(64).withColumn("k", F.col("id") % 8).groupBy("k").applyInPandas(lambda p: p, "id long, k long") \
         .write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
