@@ -181,3 +181,4 @@ WHERE rank <= 20 AND NOT EXISTS (SELECT 1 FROM rated x WHERE x.uid = top.uid AND
 LEFT JOIN (SELECT mid, coalesce(string_agg(DISTINCT tag, '|' ORDER BY tag), '') AS tags FROM tags GROUP BY mid) t
 ON m.mid = t.mid""",
 }
+SQL["stream_recs_stateful"] = SQL["stream_recs"]

@@ -208,6 +208,22 @@ def q_stream_recs(spark, d):
     return current_lists(spark, f"{base}/out")
 
 
+def q_stream_recs_stateful(spark, d):
+    """As ``stream_recs``, with each user's recent ratings kept in streaming state."""
+    from cinerank.streaming.recommender import current_lists, rating_stream
+    from cinerank.streaming.state import start_stateful_recommender
+
+    base = scratch_path(spark, "stream-state")
+    er = fx.event_ratings(spark, d)
+    er.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value")).write.text(f"{base}/in")
+    q = start_stateful_recommender(
+        rating_stream(spark, "text", f"{base}/in"), er, edges(spark, d), f"{base}/out", f"{base}/checkpoint",
+        n_recent=21, trigger={"availableNow": True}, k=20, threshold=EDGE_T, round_to=ROUND,
+    )
+    q.awaitTermination()
+    return current_lists(spark, f"{base}/out")
+
+
 def stored_ratings(spark, d):
     """The ratings written once to the shared folder: the model jobs read them several times."""
     return materialize(fx.ratings(spark, d), "ratings")
@@ -271,6 +287,7 @@ QUERIES: dict[str, Query] = {
     "merged_recs": q_merged_recs,
     "merged_recs_literal": q_merged_recs_literal,
     "stream_recs": q_stream_recs,
+    "stream_recs_stateful": q_stream_recs_stateful,
     "als_user_recs": q_als_user_recs,
     "als_user_recs_blocked": q_als_user_recs_blocked,
     "als_item_similarity": q_als_item_similarity,
