@@ -65,6 +65,17 @@ def q_items_with_tags(spark, d):
     return catalogue.movies_with_tags(fx.movies(spark, d), fx.tags(spark, d))
 
 
+def sql_statement(name):
+    """A statistic written as SQL text over the views ``ratings`` and ``movies``."""
+    from cinerank.plans import sql
+
+    def q(spark, d):
+        sql.register(spark, ratings=fx.ratings(spark, d), movies=fx.movies(spark, d))
+        return sql.run(spark, name)
+
+    return q
+
+
 def q_user_item_pairs(spark, d):
     return catalogue.user_item_pair_counts(fx.ratings(spark, d), fx.movies(spark, d))
 
@@ -268,6 +279,11 @@ QUERIES: dict[str, Query] = {
     "recent_top10": q_recent_top10,
     "items_with_tags": q_items_with_tags,
     "user_item_pairs": q_user_item_pairs,
+    "rating_counts_sql": sql_statement("rating_counts"),
+    "monthly_rating_counts_sql": sql_statement("monthly_rating_counts"),
+    "average_scores_sql": sql_statement("average_scores"),
+    "genre_top10_sql": sql_statement("genre_top10"),
+    "recent_top10_sql": sql_statement("recent_top10"),
     "text_load_movies": q_text_load_movies,
     "text_load_ratings": q_text_load_ratings,
     "text_load_tags": q_text_load_tags,
