@@ -1,12 +1,12 @@
 """Factor model: ALS training, top-N items per user over a catalogue, item similarity from
 item factors, RMSE and the parameter grid.
 
-Top-N over the catalogue is an all-pairs problem.  When every model item is in the
-catalogue, Spark's own ``recommendForAllUsers`` (blocked GEMM in the JVM) is used.
-Otherwise users and catalogue items are spread over blocks and each (user block, item
-block) group is scored by one numpy GEMM in ``applyInPandas`` keeping only its best ``n``
-per user; a ``WindowGroupLimit`` then keeps the best ``n`` over all item blocks.  No
-user x item row product is ever planned and no group grows with the data.
+Top-N over the catalogue is an all-pairs problem.  Users and catalogue items are spread
+over blocks and each (user block, item block) group is scored by one numpy GEMM in
+``applyInPandas`` keeping only its best ``n`` per user; a ``WindowGroupLimit`` then keeps
+the best ``n`` over all item blocks.  No user x item row product is planned, no cross join
+is planned (blocks meet through an equi-grouping), and no group grows with the data.
+Spark's own recommender (which cross-joins factor blocks) is available as ``method='als'``.
 """
 
 from __future__ import annotations
@@ -134,15 +134,16 @@ def user_recommendations(
     catalogue: DataFrame,
     n: int = 20,
     nested: bool = True,
-    method: str = "auto",
+    method: str = "blocked",
 ) -> DataFrame:
     """Best ``n`` catalogue items per user of ``ratings`` with prediction > 0.
 
     Rated items are kept (as in the reference).  Catalogue ids are de-duplicated; items
     outside the model have no prediction.  A user with no positive prediction has no row.
     Nested: ``uid, recs``; flat: ``uid, rid, r, rank``.
-    ``method``: ``'auto'`` (Spark's recommender when the catalogue covers every model item),
-    ``'als'`` or ``'blocked'``.
+    ``method``: ``'blocked'`` (default, any catalogue), ``'als'`` (Spark's
+    ``recommendForUserSubset``; cross-joins factor blocks) or ``'auto'`` (``'als'`` when the
+    catalogue covers every model item, else ``'blocked'``).
     """
     users = _factors(model.userFactors, "uid").join(ratings.select("uid").distinct(), "uid", "left_semi")
     item_f = _factors(model.itemFactors, "mid")

@@ -249,9 +249,10 @@ def q_als_user_recs(spark, d):
     return model.user_recommendations(als_model(spark, r), r, fx.movies(spark, d), 20)
 
 
-def q_als_user_recs_blocked(spark, d):
+def q_als_user_recs_flat(spark, d):
+    """The same top 20 per user as rows ``uid, rid, r, rank``."""
     r = stored_ratings(spark, d)
-    return model.user_recommendations(als_model(spark, r), r, fx.movies(spark, d), 20, method="blocked")
+    return model.user_recommendations(als_model(spark, r), r, fx.movies(spark, d), 20, nested=False)
 
 
 def q_als_item_similarity(spark, d):
@@ -305,7 +306,7 @@ QUERIES: dict[str, Query] = {
     "stream_recs": q_stream_recs,
     "stream_recs_stateful": q_stream_recs_stateful,
     "als_user_recs": q_als_user_recs,
-    "als_user_recs_blocked": q_als_user_recs_blocked,
+    "als_user_recs_flat": q_als_user_recs_flat,
     "als_item_similarity": q_als_item_similarity,
     "als_rmse": q_als_rmse,
     "als_grid": q_als_grid,
