@@ -229,7 +229,8 @@ def q_stream_recs_stateful(spark, d):
     er.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value")).write.text(f"{base}/in")
     q = start_stateful_recommender(
         rating_stream(spark, "text", f"{base}/in"), er, edges(spark, d), f"{base}/out", f"{base}/checkpoint",
-        n_recent=21, trigger={"availableNow": True}, k=20, threshold=EDGE_T, round_to=ROUND,
+        n_recent=21, trigger={"availableNow": True}, state_partitions=spark.sparkContext.defaultParallelism,
+        k=20, threshold=EDGE_T, round_to=ROUND,
     )
     q.awaitTermination()
     return current_lists(spark, f"{base}/out")
