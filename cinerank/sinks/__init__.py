@@ -2,6 +2,7 @@
 export, and the keyed per-batch sink used by the stream."""
 
 from cinerank.sinks.tables import (
+    compact_keyed,
     export_documents,
     read_keyed_latest,
     write_bucketed,
@@ -11,5 +12,5 @@ from cinerank.sinks.tables import (
 )
 
 __all__ = [
-    "export_documents", "read_keyed_latest", "write_bucketed", "write_keyed_batch", "write_layout", "write_table",
+    "compact_keyed", "export_documents", "read_keyed_latest", "write_bucketed", "write_keyed_batch", "write_layout", "write_table",
 ]

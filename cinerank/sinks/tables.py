@@ -67,3 +67,26 @@ def read_keyed_latest(spark: SparkSession, path: str, key: str = "uid", schema:
         r = r.schema(schema)
     rows = r.parquet(path)
     return top_n_per_group(rows, [key], [F.desc("batch_id")], 1, "_pos").drop("_pos", "batch_id")
+
+
+def compact_keyed(spark: SparkSession, path: str, key: str = "uid") -> int:
+    """Fold the history of a keyed table into its newest batch partition; returns that batch id.
+
+    The newest row per key is written into the partition of the newest batch (dynamic
+    overwrite of that one partition), then older partitions are removed.  The newest row of
+    every key is present at each step, so readers see the same content throughout.  Run it
+    between micro-batches, not concurrently with a write of the same batch id.
+    """
+    from cinerank.session import materialize, remove_path
+
+    newest = int(spark.read.parquet(path).agg(F.max("batch_id").alias("m")).first()["m"])
+    latest = materialize(read_keyed_latest(spark, path, key), "compact")
+    write_keyed_batch(latest, path, newest)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id=") and int(name.split("=", 1)[1]) < newest:
+            remove_path(spark, st.getPath().toString())
+    return newest
