@@ -24,6 +24,23 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings that keep every scan and shuffle partition near ``partition_bytes``.
+
+    The initial shuffle partition count is sized from the input (at least 2 per core), and
+    AQE coalesces small partitions toward the advisory size and splits skewed ones.  For
+    100 TB on 8,000 cores: about 400k initial partitions, coalesced at run time.
+    """
+    n = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def get_session(master: str | None = None, app: str = "cinerank", conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume.
 
