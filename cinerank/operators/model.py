@@ -180,8 +180,13 @@ def user_recommendations(
     return recs_array(flat, "uid", "rid", "r", "rank")
 
 
-def item_similarity(model: ALSModel, threshold: float = 0.6, nested: bool = True, round_to: int | None = None) -> DataFrame:
-    """Items whose factor vectors have cosine > ``threshold``: lists ``mid, recs`` (or edges)."""
+def item_similarity(model: ALSModel, threshold: float = 0.6, nested: bool = False, round_to: int | None = None) -> DataFrame:
+    """Items whose factor vectors have cosine > ``threshold``.
+
+    Default: the flat edge table ``mid, rid, r`` (both directions), which the online
+    operators join against; no item's neighbours are gathered into one row.  ``nested=True``
+    gives the list form ``mid, recs`` (one row per item holding all its neighbours).
+    """
     edges = similar_pairs(_factors(model.itemFactors, "mid"), threshold, round_to=round_to)
     return similar_lists(edges) if nested else edges
 

@@ -260,6 +260,10 @@ def q_als_item_similarity(spark, d):
     return model.item_similarity(als_model(spark, stored_ratings(spark, d)), 0.6)
 
 
+def q_als_item_similarity_lists(spark, d):
+    return model.item_similarity(als_model(spark, stored_ratings(spark, d)), 0.6, nested=True)
+
+
 def q_als_rmse(spark, d):
     r = stored_ratings(spark, d)
     return model.rmse(als_model(spark, r), r)
@@ -309,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "als_user_recs": q_als_user_recs,
     "als_user_recs_flat": q_als_user_recs_flat,
     "als_item_similarity": q_als_item_similarity,
+    "als_item_similarity_lists": q_als_item_similarity_lists,
     "als_rmse": q_als_rmse,
     "als_grid": q_als_grid,
 }

@@ -69,6 +69,8 @@ def test_grid_orders_by_rmse(spark):
 def test_item_similarity_lists(spark):
     ratings = fx.ratings(spark, SF)
     m = model.train_als(ratings, rank=4, max_iter=2, reg=0.1, seed=1)
-    lists = model.item_similarity(m, 0.9).collect()
+    lists = model.item_similarity(m, 0.9, nested=True).collect()
     for r in lists:
         assert all(x.r > 0.9 and x.rid != r.mid for x in r.recs)
+    edges = model.item_similarity(m, 0.9)
+    assert edges.count() == sum(len(r.recs) for r in lists)
