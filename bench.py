@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -43,8 +42,7 @@ def main() -> None:
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "24g"),
         "spark.eventLog.enabled": "false",
     }
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="cinerank-bench-ckpt-")
+    # the shared folder comes from spark.checkpoint.dir; get_session sets a temporary one only if unset
     spark = get_session(f"local[{cpus}]", app="cinerank-bench", conf=conf)
     qs = dict(QUERIES, als_fit=als_fit)
     # warm the JVM and the Python workers once (not timed)
