@@ -63,6 +63,11 @@ def _edges_of(edges: DataFrame, items: DataFrame) -> DataFrame:
     return restrict(edges.select("mid", "rid", "r"), items.select("mid"), ["mid"])
 
 
+def _rated_of(ratings: DataFrame, triggers: DataFrame) -> DataFrame:
+    """The batch users' rated items as ``uid, rid`` (duplicates kept: only an anti-join reads it)."""
+    return restrict(ratings, triggers, ["uid"]).select("uid", F.col("mid").alias("rid"))
+
+
 def similar_unrated(triggers: DataFrame, edges: DataFrame, ratings: DataFrame) -> DataFrame:
     """For each trigger ``(uid, mid)``: all items similar to ``mid`` that the user has not rated.
 
@@ -70,8 +75,7 @@ def similar_unrated(triggers: DataFrame, edges: DataFrame, ratings: DataFrame) -
     """
     t = triggers.select("uid", "mid")
     sims = t.join(_edges_of(edges, t), "mid")
-    rated = rated_pairs(ratings, t).select("uid", F.col("mid").alias("rid"))
-    return sims.join(rated, ["uid", "rid"], "left_anti").select("uid", "mid", "rid", "r")
+    return sims.join(_rated_of(ratings, t), ["uid", "rid"], "left_anti").select("uid", "mid", "rid", "r")
 
 
 def candidates(
@@ -93,8 +97,7 @@ def candidates(
         return top_n_per_group(similar_unrated(triggers, edges, ratings), keys, order, k)
     t = triggers.select("uid", "mid")
     top = top_n_per_group(t.join(_edges_of(edges, t), "mid"), keys, order, k)
-    rated = rated_pairs(ratings, t).select("uid", F.col("mid").alias("rid"))
-    return top.join(rated, ["uid", "rid"], "left_anti").select("uid", "mid", "rid", "r", "rank")
+    return top.join(_rated_of(ratings, t), ["uid", "rid"], "left_anti").select("uid", "mid", "rid", "r", "rank")
 
 
 def _is_up(score: Column, boundary: str, level: float) -> Column:
