@@ -23,6 +23,22 @@ from cinerank.operators.ranking import top_n_per_group
 EDGE_SCHEMA = "mid int, rid int, r double"
 
 
+def nonzero_vectors(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features") -> DataFrame:
+    """``(mid, _u)`` with ``_u`` the original float vector; zero and null vectors are dropped.
+
+    The kernel normalises in float64 after the shuffle, so only 4 bytes per component
+    are replicated across block pairs.
+    """
+    v = vectors.select(F.col(id_col).cast("int").alias("mid"), F.transform(vec_col, lambda x: x.cast("float")).alias("_u"))
+    sq = F.aggregate("_u", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    return v.where(sq > 0)
+
+
+def _unit(rows) -> np.ndarray:
+    x = np.stack(rows).astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def unit_vectors(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features") -> DataFrame:
     """``(mid, _u)`` with ``_u`` the vector scaled to length 1 (double); zero and null vectors are dropped.
 
@@ -51,7 +67,7 @@ def _self_pairs_kernel(threshold: float):
             return pd.DataFrame({"mid": [], "rid": [], "r": []})
         lo, hi = int(pdf["_lo"].iat[0]), int(pdf["_hi"].iat[0])
         ids = pdf["mid"].to_numpy(dtype=np.int64)
-        x = np.stack(pdf["_u"].to_numpy()).astype(np.float64, copy=False)
+        x = _unit(pdf["_u"].to_numpy())
         if lo == hi:
             s = x @ x.T
             ia, ib = np.nonzero(s > threshold)
@@ -87,7 +103,7 @@ def similar_pairs(
     Both directions are returned.  With ``round_to`` the cosine is rounded (half up) before
     the threshold is applied, so rankings and thresholds agree with a rounded reference.
     """
-    u = unit_vectors(vectors, id_col, vec_col)
+    u = nonzero_vectors(vectors, id_col, vec_col)
     spark = vectors.sparkSession
     n = u.count()
     nb = _block_count(n, block_rows, spark.sparkContext.defaultParallelism)
