@@ -52,9 +52,18 @@ def statistics_job(
     n: int = 10,
     min_avg: float = 3.5,
     min_count: int = 50,
+    write_input: bool = False,
 ) -> dict[str, str]:
-    """The six statistics tables; ratings are written once and read by every statistic."""
-    r = materialize(ratings.select("uid", "mid", "score", "timestamp"), "stats-ratings")
+    """The six statistics tables.
+
+    A stored ratings table is scanned by each statistic with only the columns it needs.
+    ``write_input=True`` first writes a derived (expensive) ratings plan once, so it is not
+    recomputed six times.  The per-item averages (one row per item) are written once and
+    shared by two tables.
+    """
+    r = ratings.select("uid", "mid", "score", "timestamp")
+    if write_input:
+        r = materialize(r, "stats-ratings")
     averages = materialize(stats.average_scores(r), "stats-averages")
     tables = {
         "rate_more": stats.rating_counts(r),
@@ -78,9 +87,15 @@ def offline_job(
     n: int = 20,
     threshold: float = 0.6,
     seed: int = 42,
+    write_input: bool = False,
 ) -> dict[str, str]:
-    """ALS -> per-user top-n lists and item-item similarity (flat edges and lists)."""
-    r = materialize(ratings.select("uid", "mid", "score"), "offline-ratings")
+    """ALS -> per-user top-n lists and item-item similarity (flat edges and lists).
+
+    ``write_input=True`` writes a derived ratings plan once before the model reads it twice.
+    """
+    r = ratings.select("uid", "mid", "score")
+    if write_input:
+        r = materialize(r, "offline-ratings")
     m = model.train_als(r, seed=seed)
     paths = {n_: _out(out_dir, n_) for n_ in ("user_recs", "item_edges", "item_recs")}
     sinks.write_table(model.user_recommendations(m, r, movies, n), paths["user_recs"])

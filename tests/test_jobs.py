@@ -27,7 +27,7 @@ def test_load_job(spark, tmp_dir):
 
 def test_statistics_job_matches_operators(spark, tmp_dir):
     ratings, movies = fx.ratings(spark, SF), fx.movies(spark, SF)
-    paths = jobs.statistics_job(ratings, movies, os.path.join(tmp_dir, "stats"), min_avg=3.2, min_count=5)
+    paths = jobs.statistics_job(ratings, movies, os.path.join(tmp_dir, "stats"), min_avg=3.2, min_count=5, write_input=True)
     assert set(paths) == {"rate_more", "rate_more_recently", "average", "genres_top", "high_quality", "recent_top"}
     got = sorted(tuple(r) for r in spark.read.parquet(paths["genres_top"]).collect())
     exp = sorted(tuple(r) for r in stats.genre_top_n(movies, stats.average_scores(ratings), 10).collect())
