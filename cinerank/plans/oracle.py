@@ -80,8 +80,29 @@ def v_rerank(name: str, up: str) -> str:
 ONLINE = [V_EVENT_RATINGS, V_VECTORS, v_edges(0.2), V_TRIGGERS, V_RECENTS, V_RATED, V_UNRATED, V_CANDIDATES]
 
 
+def java_double(x: str) -> str:
+    """SQL text of a DOUBLE as Spark (Java) prints it, for |x| < 1e7.
+
+    Java switches to ``d.dddE-n`` below 1e-3 (DuckDB only below 1e-4, as ``d.dde-05``)
+    and always keeps a digit after the point (``1.0E-6``).  Built from DuckDB's own
+    shortest digits, so no float arithmetic is involved.
+    """
+    a = f"abs({x})"
+    s = f"CAST({a} AS VARCHAR)"
+    sign = f"CASE WHEN {x} < 0 THEN '-' ELSE '' END"
+    mant = f"split_part({s}, 'e', 1)"
+    sci = (f"CASE WHEN contains({mant}, '.') THEN {mant} ELSE {mant} || '.0' END"
+           f" || 'E' || CAST(CAST(split_part({s}, 'e', 2) AS INTEGER) AS VARCHAR)")
+    frac = f"substr({s}, 3)"  # digits after '0.'
+    digits = f"ltrim({frac}, '0')"
+    plain = (f"substr({digits}, 1, 1) || '.' || CASE WHEN length({digits}) > 1 THEN substr({digits}, 2) ELSE '0' END"
+             f" || 'E' || CAST(-(length({frac}) - length({digits}) + 1) AS VARCHAR)")
+    return (f"CASE WHEN {x} <> 0 AND {a} < 0.001 THEN {sign} || CASE WHEN contains({s}, 'e') THEN {sci} ELSE {plain} END "
+            f"ELSE CAST({x} AS VARCHAR) END")
+
+
 def pack(view: str, key: str, rid: str, r: str, order: str) -> str:
-    return (f"SELECT {key}, string_agg(CAST({rid} AS VARCHAR) || ':' || CAST({r} AS VARCHAR), '|' ORDER BY {order}) AS recs "
+    return (f"SELECT {key}, string_agg(CAST({rid} AS VARCHAR) || ':' || {java_double(r)}, '|' ORDER BY {order}) AS recs "
             f"FROM {view} GROUP BY {key}")
 
 
