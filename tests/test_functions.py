@@ -59,3 +59,16 @@ def test_sql_functions_registered(spark):
     r = spark.sql("SELECT changeDate(1260759144) m, halfUp(2.675, 2) h, splitGe('Crime|Drama|Thriller') g").first()
     assert (r.m, r.h, r.g) == (200912, 2.68, ["Crime", "Drama", "Thriller"])
     assert spark.createDataFrame([(1,)], "x int").select(F.expr("changeDate(1262304000)")).first()[0] == 201001
+
+
+def test_pack_prints_doubles_like_spark_and_oracle_agrees(spark):
+    import duckdb
+
+    from cinerank.plans.oracle import java_double
+
+    values = [2.328198, -0.000378, 1e-06, -3.78e-05, 0.0009, 0.001, 1.0, 0.0]
+    df = spark.createDataFrame([(1, [(i, v) for i, v in enumerate(values)])], "uid int, recs array<struct<rid:int,r:double>>")
+    packed = df.select(pack_recs("recs")).first()[0]
+    rows = ",".join(f"({v}::DOUBLE, {i})" for i, v in enumerate(values))
+    expect = duckdb.sql(f"SELECT string_agg(CAST(i AS VARCHAR) || ':' || {java_double('x')}, '|' ORDER BY i) FROM (VALUES {rows}) t(x, i)").fetchone()[0]
+    assert packed == expect == "0:2.328198|1:-3.78E-4|2:1.0E-6|3:-3.78E-5|4:9.0E-4|5:0.001|6:1.0|7:0.0"
