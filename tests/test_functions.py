@@ -70,5 +70,5 @@ def test_pack_prints_doubles_like_spark_and_oracle_agrees(spark):
     df = spark.createDataFrame([(1, [(i, v) for i, v in enumerate(values)])], "uid int, recs array<struct<rid:int,r:double>>")
     packed = df.select(pack_recs("recs")).first()[0]
     rows = ",".join(f"({v}::DOUBLE, {i})" for i, v in enumerate(values))
-    expect = duckdb.sql(f"SELECT string_agg(CAST(i AS VARCHAR) || ':' || {java_double('x')}, '|' ORDER BY i) FROM (VALUES {rows}) t(x, i)").fetchone()[0]
+    expect = duckdb.sql(f"SELECT string_agg(CAST(i AS VARCHAR) || ':' || {java_double('x')}, '|' ORDER BY i) FROM (VALUES {rows}) t(x, i)").fetchall()[0][0]
     assert packed == expect == "0:2.328198|1:-3.78E-4|2:1.0E-6|3:-3.78E-5|4:9.0E-4|5:0.001|6:1.0|7:0.0"
