@@ -3,8 +3,9 @@ and the per-user list refresh (replace and merge).
 
 The reference looks up each event's data with remote calls per row; here every event of a
 batch is handled by joins.  Before joining the large tables (ratings, edges) with a batch,
-they are cut to the batch's keys by a semi-join; the key set is broadcast only after its
-row count is checked (``restrict``), otherwise the semi-join is left to the planner.
+they are cut to the batch's keys by a semi-join (``restrict``).  The batch's small sides
+are written tables, so the planner knows their size and broadcasts them only under its
+threshold; the large tables are then filtered in their scan tasks, never shuffled.
 """
 
 from __future__ import annotations
@@ -124,6 +125,10 @@ def rerank(
     (``boundary='gt'``) or ``>=`` (``'ge'``).  Candidates with no similar recent item are
     dropped.  A recent item repeated in the list counts each time.
 
+    Each user's candidates meet each of the user's recent items (the reference's double
+    loop): at most ``k`` x ``n`` rows per user (20 x 21), fixed by the caps of the two
+    lists, not by the data.  The pairs are then looked up in the edge table by equi-join.
+
     With ``round_to`` the score is rounded half up to that many places, computed from the
     exact integer sum of ``r`` (on the 10^-round_to grid) times ``score`` (at most 4
     decimals), so the result does not depend on the summation order.
