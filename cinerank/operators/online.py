@@ -10,6 +10,8 @@ threshold; the large tables are then filtered in their scan tasks, never shuffle
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from cinerank.functions.recs import pack_recs, recs_array, unpack_recs
 from cinerank.functions.scalar import log2_count
 from cinerank.operators.ranking import top_n_per_group
 from cinerank.session import materialize
+from cinerank.sinks.tables import bucket_of
 
 MAX_BROADCAST_KEYS = 2_000_000
 
@@ -30,8 +33,22 @@ def restrict(big: DataFrame, keys: DataFrame, on: list[str], max_broadcast_rows:
     and never shuffled; above the threshold it plans a shuffle join.  With
     ``max_broadcast_rows`` the distinct keys are counted instead and broadcast when at
     most that many (an explicit size check for a small side that is not a table).
+
+    A table written by ``write_layout(..., buckets=B)`` carries a hash-bucket partition
+    column of the key; only the bucket folders of the key set are then read (partition
+    filter built from the key set's distinct bucket ids, at most B values), so a
+    micro-batch scans its users' buckets, not the whole table.
     """
     k = keys.select(*on).distinct()
+    bucketed = _bucket_partition(big, on)
+    if bucketed is not None:
+        # read only the key set's bucket folders: the distinct bucket ids (at most the
+        # layout's bucket count) become a partition filter of the scan
+        col, buckets = bucketed
+        k = k.withColumn(col, bucket_of(on[0], buckets))
+        ids = [r[0] for r in k.select(col).distinct().collect()]
+        big = big.where(F.col(col).isin(ids))
+        on = [col] + list(on)
     if max_broadcast_rows is not None:
         k = materialize(k, "keys")
         if k.count() <= max_broadcast_rows:
@@ -39,6 +56,15 @@ def restrict(big: DataFrame, keys: DataFrame, on: list[str], max_broadcast_rows:
     return big.join(k, on, "left_semi")
 
 
+def _bucket_partition(big: DataFrame, on: list[str]):
+    """``(column, buckets)`` when ``big`` is laid out with a hash-bucket column of the one key."""
+    if len(on) != 1:
+        return None
+    m = [re.fullmatch(rf"_{re.escape(on[0])}_b(\d+)", c) for c in big.columns]
+    hit = next((x for x in m if x), None)
+    return (hit.group(0), int(hit.group(1))) if hit else None
+
+
 def newest_per_user(events: DataFrame, n: int = 1, out: str = "pos") -> DataFrame:
     """The ``n`` newest rows per uid (timestamp desc, then mid desc, then score desc); ``pos`` 1 = newest."""
     return top_n_per_group(events, ["uid"], [F.desc("timestamp"), F.desc("mid"), F.desc("score")], n, out)

@@ -203,5 +203,6 @@ LEFT JOIN (SELECT mid, coalesce(string_agg(DISTINCT tag, '|' ORDER BY tag), '')
 ON m.mid = t.mid""",
 }
 SQL["stream_recs_stateful"] = SQL["stream_recs"]
+SQL["rerank_bucketed"] = SQL["rerank"]
 for _name in ("rating_counts", "monthly_rating_counts", "average_scores", "genre_top10", "recent_top10"):
     SQL[f"{_name}_sql"] = SQL[_name]

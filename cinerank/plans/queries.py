@@ -169,6 +169,18 @@ def rerank(spark, d, boundary="gt", inputs=None):
     return online.rerank(cands, recents, e, EDGE_T, boundary, 3.0, round_to=ROUND)
 
 
+def q_rerank_bucketed(spark, d):
+    """``rerank`` over ratings stored partitioned by a hash bucket of uid: each batch-side
+    semi-join prunes bucket folders at run time (dynamic partition pruning)."""
+    path = scratch_path(spark, "ratings-by-uid-bucket")
+    sinks.write_layout(fx.event_ratings(spark, d), path, "uid", buckets=64, tie=["mid"])
+    stored = spark.read.parquet(path)
+    e = edges(spark, d)
+    t = triggers(spark, d)
+    cands = materialize(online.candidates(t, e, stored, 20), "candidates")
+    return online.rerank(cands, online.recent_ratings(stored, 21, users=t), e, EDGE_T, "gt", 3.0, round_to=ROUND)
+
+
 def q_rerank(spark, d):
     return rerank(spark, d, "gt")
 
@@ -304,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "candidates_cut_first": q_candidates_cut_first,
     "rerank": q_rerank,
     "rerank_ge": q_rerank_ge,
+    "rerank_bucketed": q_rerank_bucketed,
     "packed_recs": q_packed_recs,
     "unpacked_recs": q_unpacked_recs,
     "merged_recs": q_merged_recs,

@@ -7,7 +7,7 @@ with dynamic partition overwrite, so replaying a batch rewrites only that batch'
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinerank.operators.ranking import top_n_per_group
@@ -19,14 +19,46 @@ def write_table(df: DataFrame, path: str | None = None, fmt: str = "parquet", mo
     w.save(path) if path is not None else w.save()
 
 
-def write_layout(df: DataFrame, path: str, key: str, partitions: int | None = None, fmt: str = "parquet") -> None:
+def bucket_column(key: str, buckets: int) -> str:
+    """Name of the hash-bucket partition column of ``key``; it records the bucket count."""
+    return f"_{key}_b{buckets}"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def write_layout(
+    df: DataFrame,
+    path: str,
+    key: str,
+    partitions: int | None = None,
+    fmt: str = "parquet",
+    buckets: int | None = None,
+    tie: list[str] | None = None,
+) -> None:
     """Write range-partitioned and sorted on ``key`` so each file covers a narrow key range.
 
     Parquet keeps min/max per row group, so a later filter or join on ``key`` skips most
     files: the access path the reference gets from an index on uid / mid.
+
+    With ``buckets`` the table is also partitioned by a hash bucket of ``key`` (column
+    ``bucket_column(key, buckets)``): a semi-join with a broadcast key set (``restrict``)
+    then prunes whole bucket folders at run time (dynamic partition pruning), so a batch
+    of users reads only their buckets.  ``tie`` columns extend the range order so that a
+    key holding many rows is split over several files.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, key).sortWithinPartitions(key).write.mode("overwrite").format(fmt).save(path)
+    w = df
+    order = [key] + list(tie or [])
+    if buckets:
+        bc = bucket_column(key, buckets)
+        w = w.withColumn(bc, bucket_of(key, buckets))
+        order = [bc] + order
+    w = w.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite").format(fmt)
+    if buckets:
+        w = w.partitionBy(bucket_column(key, buckets))
+    w.save(path)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:

@@ -58,3 +58,20 @@ def test_global_rank_has_no_window_over_all_rows(spark):
     # only carries the per-range counts (one row per range) for the offsets
     assert p.count("Arguments: hashpartitioning(_pid") == 2  # per-range counts, per-range numbering
     assert p.count("Arguments: SinglePartition") == 1  # the offsets over the per-range counts
+
+
+def test_bucketed_layout_reads_only_the_key_sets_buckets(spark, tmp_dir):
+    from cinerank.sinks import write_layout
+
+    er = fx.event_ratings(spark, SF)
+    path = f"{tmp_dir}/ratings_bucketed"
+    write_layout(er, path, "uid", partitions=4, buckets=16, tie=["mid"])
+    stored = spark.read.parquet(path)
+    assert "_uid_b16" in stored.columns
+    keys = materialize(er.select("uid").distinct().limit(3), "bucket-keys")
+    r = online.restrict(stored, keys, ["uid"])
+    p = plan(r)
+    scan = [line for line in p.splitlines() if line.startswith("PartitionFilters")]
+    assert any("_uid_b16" in line and " IN (" in line for line in scan)
+    plain = online.restrict(er, keys, ["uid"])
+    assert sorted(map(tuple, r.drop("_uid_b16").collect())) == sorted(map(tuple, plain.collect()))
