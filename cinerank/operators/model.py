@@ -121,6 +121,9 @@ def blocked_top_k(
     """
     spark = users.sparkSession
     par = spark.sparkContext.defaultParallelism
+    # exact copies would all hash into one block (and repeat recommendations): collapse them
+    users = users.select("uid", "features").dropDuplicates(["uid", "features"])
+    items = items.select("mid", "features").dropDuplicates(["mid", "features"])
     nu, ni = users.count(), items.count()
     bu = max(_blocks(nu, block_rows), 1)
     bi = max(_blocks(ni, block_rows), 1)

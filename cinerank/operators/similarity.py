@@ -102,8 +102,11 @@ def similar_pairs(
 
     Both directions are returned.  With ``round_to`` the cosine is rounded (half up) before
     the threshold is applied, so rankings and thresholds agree with a rounded reference.
+    Exact copies of an input row are collapsed, so each item pair appears once.
     """
-    u = nonzero_vectors(vectors, id_col, vec_col)
+    # exact copies of a row would all hash into one block; a pair of items is emitted once,
+    # so copies are collapsed first (a partially aggregated distinct, skew-safe)
+    u = nonzero_vectors(vectors, id_col, vec_col).dropDuplicates(["mid", "_u"])
     spark = vectors.sparkSession
     n = u.count()
     nb = _block_count(n, block_rows, spark.sparkContext.defaultParallelism)

@@ -49,3 +49,18 @@ def test_similar_lists_sorted(spark):
     e = spark.createDataFrame([(1, 2, 0.7), (1, 3, 0.9), (1, 4, 0.9)], "mid int, rid int, r double")
     got = similarity.similar_lists(e).first()
     assert [(x.rid, x.r) for x in got.recs] == [(3, 0.9), (4, 0.9), (2, 0.7)]
+
+
+def test_copies_are_collapsed_and_blocks_stay_balanced(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(9)
+    base = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(60)]
+    hot = [(0, base[0][1])] * 40  # a group of copies: 40 of 100 rows
+    df = spark.createDataFrame(base + hot, "mid int, features array<float>")
+    got = [(r.mid, r.rid) for r in similarity.similar_pairs(df, 0.3, block_rows=16).collect()]
+    vecs = {k: np.asarray(v, dtype=np.float32).astype(np.float64) for k, v in base}
+    assert sorted(got) == sorted(brute(vecs, 0.3))  # each item pair once
+    u = similarity.nonzero_vectors(df).dropDuplicates(["mid", "_u"])
+    sizes = u.groupBy(F.pmod(F.xxhash64("mid", "_u"), F.lit(4))).count().collect()
+    assert max(r["count"] for r in sizes) < 40
