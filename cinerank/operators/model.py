@@ -197,18 +197,20 @@ def item_similarity(model: ALSModel, threshold: float = 0.6, nested: bool = Fals
 def rmse(model: ALSModel, ratings: DataFrame, duplicates: str = "row") -> DataFrame:
     """Root mean squared error of the model on ``ratings``: one row ``rmse``.
 
-    ``duplicates='row'`` scores each rating row once.  ``'join'`` reproduces the reference,
-    which joins real and predicted values on (uid, mid), so a pair rated k times counts k².
+    ``duplicates='row'`` scores each rating row once.  ``'join'`` gives the reference's
+    value, which joins real and predicted values on (uid, mid), so a pair rated k times
+    contributes k x k products.  Here that value is computed without forming them: all k
+    ratings of a pair share one prediction p, so the pair adds k * sum((s - p)^2) to the
+    numerator and k^2 to the denominator (one aggregate per pair, linear in the input).
     """
+    pred = predict(model, ratings.select("uid", "mid", "score"))
+    err2 = (F.col("score") - F.col("prediction")) ** 2
     if duplicates == "row":
-        pred = predict(model, ratings.select("uid", "mid", "score"))
-    elif duplicates == "join":
-        p = predict(model, ratings.select("uid", "mid")).select("uid", "mid", "prediction")
-        pred = ratings.select("uid", "mid", "score").join(p, ["uid", "mid"])
-    else:
-        raise ValueError("duplicates must be 'row' or 'join'")
-    err = F.col("score") - F.col("prediction")
-    return pred.agg(F.sqrt(F.avg(err * err)).alias("rmse"))
+        return pred.agg(F.sqrt(F.avg(err2)).alias("rmse"))
+    if duplicates == "join":
+        per_pair = pred.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("_k"), F.sum(err2).alias("_e"))
+        return per_pair.agg(F.sqrt(F.sum(F.col("_k") * F.col("_e")) / F.sum(F.col("_k") * F.col("_k"))).alias("rmse"))
+    raise ValueError("duplicates must be 'row' or 'join'")
 
 
 def tune_als(
