@@ -30,14 +30,19 @@ def load_job(
     out_dir: str,
     lenient: bool = False,
     export_path: str | None = None,
+    rating_buckets: int | None = None,
 ) -> dict[str, str]:
-    """Text files -> Movie / Rating / Tag tables (laid out by mid / uid) and the search documents."""
+    """Text files -> Movie / Rating / Tag tables (laid out by mid / uid) and the search documents.
+
+    ``rating_buckets`` partitions the ratings by a hash bucket of uid as well, the layout the
+    online operators prune per micro-batch (see ``operators.online.restrict``).
+    """
     movies = text_src.load_movies_text(spark, movies_path, lenient)
     ratings = text_src.load_ratings_text(spark, ratings_path, lenient)
     tags = text_src.load_tags_text(spark, tags_path, lenient)
     paths = {n: _out(out_dir, n) for n in ("movies", "ratings", "tags")}
     sinks.write_layout(movies, paths["movies"], "mid")
-    sinks.write_layout(ratings, paths["ratings"], "uid")
+    sinks.write_layout(ratings, paths["ratings"], "uid", buckets=rating_buckets, tie=["mid"])
     sinks.write_layout(tags, paths["tags"], "mid")
     docs = catalogue.movies_with_tags(spark.read.parquet(paths["movies"]), spark.read.parquet(paths["tags"]))
     paths["documents"] = export_path or _out(out_dir, "documents")

@@ -19,10 +19,11 @@ def test_load_job(spark, tmp_dir):
     mp = write_lines(tmp_dir, "m", ["1^A^d^1 min^x^1995^en^Drama|Crime^a^b", "2^B^d^1 min^x^1995^en^Drama^a^b"])
     rp = write_lines(tmp_dir, "r", ["1,1,4.0,100", "2,1,3.0,200", "1,2,5.0,300"])
     tp = write_lines(tmp_dir, "t", ["1,1,dark,100", "2,1,noir,200"])
-    paths = jobs.load_job(spark, mp, rp, tp, os.path.join(tmp_dir, "out"))
+    paths = jobs.load_job(spark, mp, rp, tp, os.path.join(tmp_dir, "out"), rating_buckets=8)
     docs = {r["_id"]: r.tags for r in spark.read.json(paths["documents"]).collect()}
     assert docs == {1: "dark|noir", 2: None}
-    assert spark.read.parquet(paths["ratings"]).count() == 3
+    stored = spark.read.parquet(paths["ratings"])
+    assert stored.count() == 3 and "_uid_b8" in stored.columns
 
 
 def test_statistics_job_matches_operators(spark, tmp_dir):
