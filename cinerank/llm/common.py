@@ -61,9 +61,12 @@ def lower(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every maximal run of bytes other than white space; no word crosses a row's end."""
-    inside = ~_SPACE[buf]
+def word_spans(buf: np.ndarray, off: np.ndarray, letters: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every maximal run of bytes other than white space, or of the bytes marked in ``letters``.
+
+    No word crosses a row's end.
+    """
+    inside = ~_SPACE[buf] if letters is None else letters[buf]
     edge = np.zeros(len(buf) + 1, bool)
     edge[off] = True
     before = np.empty_like(inside)

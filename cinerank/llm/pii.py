@@ -1,7 +1,7 @@
 """Personal data replaced by keyed surrogates of the same type, gender, script and format.
 
 Detected: e-mail addresses, phone numbers, payment card numbers, IPv4 addresses, US social security numbers,
-IBANs, access keys, secrets after ``password=`` or ``api_key =`` and the like, and persons (a given name of a list,
+IBANs, access keys, secrets after ``password=``, ``token = "`` and the like, and persons (a given name of a list,
 then a surname in the same script).
 
 A surrogate is the entity under a keyed permutation of its own format class: digits stay digits, small letters
@@ -58,11 +58,11 @@ PATTERN = re.compile(
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<!\w)\+\d{8,15}(?!\d))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<access_key>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
-    r"|(?P<secret>(?i:(?<=password=)|(?<=password: )|(?<=passwd=)|(?<=api_key=)|(?<=api_key = )|(?<=apikey=)|(?<=secret=)|(?<=token=)|(?<=api_key = [\"'])|(?<=api_key=[\"'])|(?<=secret = [\"']))[A-Za-z0-9_+/.~-]{6,})"
+    r"|(?i:password|passwd|pwd|api[_-]?key|secret|token)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<secret>[A-Za-z0-9_+/.~-]{6,})"
     rf"|(?P<person>\b(?:{_NAMES})\b[ \u00a0](?:[A-Z]\. )?[^\W\d_]{{2,}}(?:-[^\W\d_]+)?)"
 )
 #: One of these is in every text with an entity.
-_HINT = re.compile(rf"[0-9@]|(?i:password|passwd|api_?key|secret|token)|\b(?:{_NAMES})\b")
+_HINT = re.compile(rf"[0-9@]|(?i:password|passwd|pwd|api[_-]?key|secret|token)|\b(?:{_NAMES})\b")
 
 
 class Surrogates:
@@ -190,12 +190,12 @@ def find(text: str):
     if not _HINT.search(text):
         return
     for m in PATTERN.finditer(text):
-        kind = m.lastgroup if m.lastgroup != "gap" else "card"
+        kind = m.lastgroup
         if kind == "person":
             given, surname = re.match(rf"(?:{_NAMES})\b", m[0])[0], m[0].split()[-1]
             if not surname[0].isupper() or (ord(given[-1]) < 0x250) != (ord(surname[0]) < 0x250):
                 continue
-        yield kind, m.start(), m.end()
+        yield kind, *m.span(kind)
 
 
 _SCHEMA = "array<struct<kind:string,start:int,length:int,surrogate:string>>"

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import bpe, chat, langid, pii, toxicity
+from cinerank.llm import bpe, chat, decontam, jaccard, langid, pii, toxicity
 from cinerank.llm.common import read
 
 #: The key of the surrogates; a deployment passes its own.
@@ -35,6 +35,14 @@ def op3_chat_format(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, d, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.report(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
 def op8_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(read(spark, d, "documents"), public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
 
@@ -59,7 +67,7 @@ def op10_pii_surrogates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_chat_format, op8_byte_bpe, op9_language_id, op10_pii_surrogates)
+    f.__name__: f for f in (op1_toxicity, op3_chat_format, op5_ngram_jaccard, op6_decontaminate, op8_byte_bpe, op9_language_id, op10_pii_surrogates)
 }
 
 SQL: dict[str, str] = {
