@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import bpe, chat, decontam, jaccard, langid, pii, toxicity
+from cinerank.llm import bpe, chat, decontam, jaccard, langid, pii, ppm, toxicity
 from cinerank.llm.common import read
 
 #: The key of the surrogates; a deployment passes its own.
@@ -19,6 +19,10 @@ def op1_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.held_out_scores(read(spark, d, "documents"), read(spark, d, "labels"))
 
 
+def op2_ppm(spark: SparkSession, d: str) -> DataFrame:
+    return ppm.held_out_scores(read(spark, d, "documents"))
+
+
 def op3_chat_format(spark: SparkSession, d: str) -> DataFrame:
     turns = read(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -67,7 +71,7 @@ def op10_pii_surrogates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_chat_format, op5_ngram_jaccard, op6_decontaminate, op8_byte_bpe, op9_language_id, op10_pii_surrogates)
+    f.__name__: f for f in (op1_toxicity, op2_ppm, op3_chat_format, op5_ngram_jaccard, op6_decontaminate, op8_byte_bpe, op9_language_id, op10_pii_surrogates)
 }
 
 SQL: dict[str, str] = {
