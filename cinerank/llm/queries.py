@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import bpe, chat, decontam, jaccard, langid, pii, ppm, toxicity
+from cinerank.llm import bpe, chat, decontam, jaccard, langid, pii, ppm, repeats, search, toxicity
 from cinerank.llm.common import read
 
 #: The key of the surrogates; a deployment passes its own.
@@ -39,6 +39,10 @@ def op3_chat_format(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op4_repeated_strings(spark: SparkSession, d: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, d, "documents")).drop("kept")
+
+
 def op5_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, d, "documents"))
 
@@ -47,6 +51,12 @@ def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontam.report(read(spark, d, "documents"), read(spark, d, "benchmark"))
 
 
+def op7_topk_search(spark: SparkSession, d: str) -> DataFrame:
+    """The ten best documents for the whole text of every document whose id is divisible by 50."""
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    return search.top_k(docs, docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query"), "text"))
+
+
 def op8_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(read(spark, d, "documents"), public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
 
@@ -71,7 +81,7 @@ def op10_pii_surrogates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_ppm, op3_chat_format, op5_ngram_jaccard, op6_decontaminate, op8_byte_bpe, op9_language_id, op10_pii_surrogates)
+    f.__name__: f for f in (op1_toxicity, op2_ppm, op3_chat_format, op4_repeated_strings, op5_ngram_jaccard, op6_decontaminate, op7_topk_search, op8_byte_bpe, op9_language_id, op10_pii_surrogates)
 }
 
 SQL: dict[str, str] = {
@@ -92,4 +102,19 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, digest) FILTER (role = 'assistant'), '')) AS loss_sha256,
   cast(sum(chars) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id""",
+    "op7_topk_search": r"""
+WITH words AS (
+  SELECT doc_id, unnest(list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '')) AS term
+  FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+len AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+total AS (SELECT (SELECT count(*) FROM documents) AS docs, (SELECT sum(n) FROM len) / (SELECT count(*) FROM documents) AS mean),
+df AS (SELECT term, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, total GROUP BY term, docs),
+impact AS (SELECT doc_id, term, idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / mean)) AS w, tf FROM tf JOIN len USING (doc_id) JOIN df USING (term), total),
+hit AS (
+  SELECT q.doc_id AS query, i.doc_id, round(sum(q.tf * i.w), 6) AS score
+  FROM impact q JOIN impact i USING (term) WHERE q.doc_id % 50 = 0 GROUP BY ALL
+)
+SELECT query, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM hit
+QUALIFY rank <= 10""",
 }
