@@ -104,8 +104,9 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id""",
     "op7_topk_search": r"""
 WITH words AS (
-  SELECT doc_id, unnest(list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '')) AS term
-  FROM documents
+  SELECT * FROM (
+    SELECT doc_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+')) AS term
+    FROM documents) WHERE term <> ''
 ), tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
 len AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
 total AS (SELECT (SELECT count(*) FROM documents) AS docs, (SELECT sum(n) FROM len) / (SELECT count(*) FROM documents) AS mean),
