@@ -28,7 +28,7 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A private-use character; never part of a mapped byte.
 UNKNOWN = "\ue000"
 #: Distinct pre-tokens a task remembers.
-MEMO = 600_000
+MEMO = 200_000
 
 
 def byte_characters() -> list[str]:

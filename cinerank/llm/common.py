@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text worked on at once inside a task; arrays of 8 bytes a position stay small beside it.
-PIECE = 2 << 20
+PIECE = 512 << 10
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
