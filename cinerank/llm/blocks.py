@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from cinerank.llm.common import byte_column, pieces
 from cinerank.session import materialize
 
-#: Bytes of text in a block at most, but for a single longer row.
-BLOCK = 24 << 20
+#: Bytes of text in a block at most, but for a single longer row; and rows.
+BLOCK, ROWS = 24 << 20, 1 << 20
 
 
 def encode(table: pa.Table) -> bytes:
@@ -38,7 +38,7 @@ def pack(df: DataFrame, name: str, text: str = "text", size: int = BLOCK) -> Dat
             off = byte_column(b.column(text))[1]
             for i, j in pieces(off, size):
                 n = int(off[j] - off[i])
-                if parts and have + n > size:
+                if parts and (have + n > size or sum(map(len, parts)) + j - i > ROWS):
                     yield pa.record_batch([pa.array([at + seq]), pa.array([encode(pa.Table.from_batches(parts))], pa.binary())], names=["block", "payload"])
                     seq, have, parts = seq + 1, 0, []
                 parts.append(b.slice(i, j - i))

@@ -22,7 +22,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinerank.llm.blocks import pack, payloads
@@ -123,15 +124,16 @@ _STRETCH = pa.list_(pa.struct([("name", pa.int64()), ("whole", pa.int64()), ("fi
 
 
 def stretches(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
-    """block, row, id, n_bytes, digest (of the whole text), text (only where stretches repeat) and these stretches."""
+    """loc (place in the table), id, n_bytes, digest (of the whole text), text (compressed, only where stretches repeat) and these stretches."""
     asked = blocks.join(repeated, "block", "left").select("block", "payload", "names")
 
     def run(batches):
+        pack_ = zstandard.ZstdCompressor(level=3).compress
         for block, table, facts in payloads(batches):
             hot = np.sort(facts.column("names")[0].values.to_numpy()) if facts.column("names")[0].is_valid else np.zeros(0, np.int64)
             ids, texts = table.column("id"), table.column("text").cast(pa.large_binary())
-            out = []
-            found = {}
+            base = ((block >> 32) << 39) | ((block & 0xFFFFFFFF) << 20)
+            out, found = [], {}
             if len(hot):
                 for r, buf in _rows(table):
                     prints = Prints(buf)
@@ -143,32 +145,36 @@ def stretches(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
                         found[r] = list(zip(m.tolist(), whole.astype(np.int64).tolist(), f.tolist(), e.tolist(), strict=True))
             for r in range(len(table)):
                 t = texts[r].as_py() or b""
-                out.append((r, ids[r].as_py(), len(t), hashlib.sha256(t).hexdigest(), t if r in found else None, [dict(zip(("name", "whole", "first", "last"), x, strict=True)) for x in found.get(r, ())]))
-                if len(out) == 500 or r == len(table) - 1:
+                out.append((base | r, ids[r].as_py(), len(t), hashlib.sha256(t).hexdigest(), pack_(t) if r in found else None, [dict(zip(("name", "whole", "first", "last"), x, strict=True)) for x in found.get(r, ())]))
+                if len(out) == 200 or r == len(table) - 1:
                     c = list(zip(*out, strict=True))
-                    yield pa.record_batch([pa.array([block] * len(out)), pa.array(c[0], pa.int32()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()), pa.array(c[3]), pa.array(c[4], pa.binary()), pa.array(c[5], _STRETCH)], names=["block", "row", "id", "n_bytes", "digest", "text", "stretches"])
+                    yield pa.record_batch([pa.array(x, k) for x, k in zip(c, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), _STRETCH), strict=True)], names=["loc", "id", "n_bytes", "digest", "text", "stretches"])
                     out = []
 
-    return asked.mapInArrow(run, "block long, row int, id long, n_bytes long, digest string, text binary, stretches array<struct<name:bigint,whole:bigint,first:int,last:int>>")
+    return asked.mapInArrow(run, "loc long, id long, n_bytes long, digest string, text binary, stretches array<struct<name:bigint,whole:bigint,first:int,last:int>>")
+
+
+def _plain(payload: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8)
 
 
 def _windows(texts: DataFrame) -> DataFrame:
-    """A row for each window of the stretches asked for: name of the gram, distance and name of the window."""
+    """A row for each window of the stretches asked for; its name takes in that of the gram."""
 
     def run(batches):
         for b in batches:
             for k in range(len(b)):
-                buf = np.frombuffer(b.column("text")[k].as_py(), np.uint8)
-                prints = Prints(buf)
+                prints = Prints(_plain(b.column("text")[k].as_py()))
                 s = b.column("asked")[k].values
                 first, last = s.field("first").to_numpy().astype(np.int64), s.field("last").to_numpy().astype(np.int64)
                 n = last - first + 1
                 at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                name = np.repeat(s.field("name").to_numpy(), n)
-                full = lambda c: pa.array([b.column(c)[k].as_py()] * len(at), b.schema.field(c).type)  # noqa: B023, E731
-                yield pa.record_batch([full("block"), full("row"), full("id"), pa.array(name), pa.array(prints.of(at, LENGTH)), pa.array(at.astype(np.int32))], names=["block", "row", "id", "name", "window", "at"])
+                name = np.repeat(_scramble(s.field("name").to_numpy()), n)
+                full = lambda c: pa.array(np.full(len(at), b.column(c)[k].as_py()))  # noqa: B023, E731
+                window = (name ^ prints.of(at, LENGTH).astype(np.uint64)).astype(np.int64)
+                yield pa.record_batch([full("loc"), full("id"), pa.array(window), pa.array(at.astype(np.int32))], names=["loc", "id", "window", "at"])
 
-    return texts.mapInArrow(run, "block long, row int, id long, name long, window long, at int")
+    return texts.mapInArrow(run, "loc long, id long, window long, at int")
 
 
 def _cut(rows: DataFrame) -> DataFrame:
@@ -176,18 +182,16 @@ def _cut(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            out = []
             for k in range(len(b)):
-                buf = np.frombuffer(b.column("text")[k].as_py(), np.uint8)
+                buf = _plain(b.column("text")[k].as_py())
                 v = b.column("gone")[k].values
                 edge = np.zeros(len(buf) + 1, np.int64)
                 np.add.at(edge, v.field("first").to_numpy(), 1)
                 np.add.at(edge, v.field("last").to_numpy().astype(np.int64) + LENGTH, -1)
                 gone = np.cumsum(edge)[:-1] > 0
                 spans = int((gone & ~np.append(False, gone[:-1])).sum())
-                out.append((b.column("id")[k].as_py(), len(buf), int(gone.sum()), spans, buf[~gone].tobytes()))
-            c = list(zip(*out, strict=True)) or [()] * 5
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(c, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+                row = (b.column("id")[k].as_py(), len(buf), int(gone.sum()), spans, buf[~gone].tobytes())
+                yield pa.record_batch([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return rows.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
@@ -196,28 +200,28 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """The key (long), n_bytes, n_removed, n_spans, kept_sha256 and, where bytes went, kept (the bytes left) of each row."""
     own = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     blocks = pack(own, "repeat-blocks")
-    asked = ask_names(blocks)
-    # blocks that hold a name meet in one row of at most as many numbers as there are blocks
-    shared = asked.groupBy("name").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks")).where("n > 1")
-    repeated = shared.select("name", F.explode("blocks").alias("block")).groupBy("block").agg(F.collect_list("name").alias("names"))
+    # a name has a row a block at most
+    shared = ask_names(blocks).withColumn("all", F.sum("n").over(Window.partitionBy("name"))).where("all > 1")
+    repeated = shared.groupBy("block").agg(F.collect_list("name").alias("names"))
     texts = materialize(stretches(blocks, repeated), "repeat-texts")
 
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "block", "row", F.col("s.first").alias("at"))
-    each = texts.where(F.size("stretches") > 0).select("block", "row", "id", F.explode("stretches").alias("s")).select(
-        "block", "row", "s.name", "s.whole", "s.first", "s.last", place.alias("place"))
-    classes = materialize(each.groupBy("name", "whole").agg(F.min(F.struct("place", F.col("last"))).alias("head")), "repeat-classes")
-    heads = classes.select("name", "whole", "head.place")
-    later = each.join(heads.select("name", "whole", F.col("place").alias("head")), ["name", "whole"]).where(F.col("place") != F.col("head")).select("block", "row", "first", "last")
+    # null ids stand behind all others, which sorting null as the largest number gives
+    order = F.coalesce("id", F.lit((1 << 63) - 1)).alias("id")
+    each = texts.where(F.size("stretches") > 0).select("loc", order, F.explode("stretches").alias("s")).select(
+        "s.name", "s.whole", F.struct("id", "loc", F.col("s.first").alias("first")).alias("place"), F.col("s.last").alias("last"))
+    classes = materialize(each.groupBy("name", "whole").agg(F.min(F.struct("place", "last")).alias("head")), "repeat-classes")
+    heads = classes.select("name", "whole", F.col("head.place").alias("head"))
+    later = each.join(heads, ["name", "whole"]).where(F.col("place") != F.col("head")).select("place.loc", "place.first", "last")
     # grams around which texts differ: the first stretches of each kind are compared window by window
     several = classes.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("name")
-    open_ = classes.join(several, "name", "left_semi").select("name", "head.place.block", "head.place.row", F.col("head.place.at").alias("first"), "head.last")
-    wanted = open_.groupBy("block", "row").agg(F.collect_list(F.struct("name", "first", "last")).alias("asked"))
-    windows = materialize(_windows(texts.where("text is not null").select("block", "row", "id", "text").join(wanted, ["block", "row"])), "repeat-windows")
-    at = F.struct(F.col("id").isNull().alias("none"), "id", "block", "row", "at")
-    firsts = windows.groupBy("name", "window").agg(F.min(at).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "window", "head")
-    same = windows.join(firsts, ["name", "window"]).where(at != F.col("head")).select("block", "row", F.col("at").alias("first"), F.col("at").alias("last"))
-    gone = later.unionByName(same).groupBy("block", "row").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
-    cut = _cut(texts.where("text is not null").select("block", "row", "id", "text").join(gone, ["block", "row"]).select("id", "text", "gone"))
-    whole = texts.join(gone.select("block", "row"), ["block", "row"], "left_anti").select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("digest").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
+    open_ = classes.join(several, "name", "left_semi").select("name", "head.place.loc", "head.place.first", "head.last")
+    wanted = open_.groupBy("loc").agg(F.collect_list(F.struct("name", "first", "last")).alias("asked"))
+    windows = materialize(_windows(texts.where("text is not null").select("loc", order, "text").join(wanted, "loc")), "repeat-windows")
+    at = F.struct("id", "loc", "at")
+    firsts = windows.groupBy("window").agg(F.min(at).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("window", "head")
+    same = windows.join(firsts, "window").where(at != F.col("head")).select("loc", F.col("at").alias("first"), F.col("at").alias("last"))
+    gone = materialize(later.unionByName(same).groupBy("loc").agg(F.collect_list(F.struct("first", "last")).alias("gone")), "repeat-gone")
+    cut = _cut(texts.where("text is not null").select("loc", "id", "text").join(gone, "loc").select("id", "text", "gone"))
+    whole = texts.select("loc", "id", "n_bytes", "digest").join(gone.select("loc"), "loc", "left_anti").select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("digest").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
     changed = cut.select("id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "kept")
     return whole.unionByName(changed).withColumnRenamed("id", key)
