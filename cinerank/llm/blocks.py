@@ -11,8 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cinerank.llm.common import byte_column, pieces
-from cinerank.session import materialize
+from cinerank.llm.common import byte_column, pieces, settle
 
 #: Bytes of text in a block at most, but for a single longer row; and rows.
 BLOCK, ROWS = 24 << 20, 1 << 20
@@ -29,8 +28,8 @@ def decode(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all().combine_chunks()
 
 
-def pack(df: DataFrame, name: str, text: str = "text", size: int = BLOCK) -> DataFrame:
-    """A written table with a row a block: block (long) and payload (the rows); rows keep their order."""
+def pack(df: DataFrame, name: str, text: str = "text", size: int = BLOCK) -> tuple[DataFrame, str]:
+    """A written table with a row a block: block (long) and payload (the rows); rows keep their order. Also its path."""
 
     def run(batches):
         at, seq, have, parts = TaskContext.get().partitionId() << 32, 0, 0, []
@@ -46,7 +45,7 @@ def pack(df: DataFrame, name: str, text: str = "text", size: int = BLOCK) -> Dat
         if parts:
             yield pa.record_batch([pa.array([at + seq]), pa.array([encode(pa.Table.from_batches(parts))], pa.binary())], names=["block", "payload"])
 
-    return materialize(df.mapInArrow(run, "block long, payload binary"), name)
+    return settle(df.mapInArrow(run, "block long, payload binary"), name)
 
 
 def payloads(batches):

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cinerank.session import scratch_path
+
 #: Bytes of text worked on at once inside a task; arrays of 8 bytes a position stay small beside it.
 PIECE = 512 << 10
 
@@ -135,3 +137,15 @@ def shingle_hashes(words: np.ndarray, row: np.ndarray, rows: int, width: int) ->
 def widened(df: DataFrame, *columns: tuple[str, str]) -> StructType:
     """The schema of ``df`` with more columns."""
     return StructType(df.schema.fields + StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in columns)).fields)
+
+
+def settle(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and its path.
+
+    Collecting the driver's garbage lets Spark's cleaner delete the shuffle files of the job, which nothing needs any
+    more; otherwise they stay until the driver happens to collect.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df.sparkSession.read.parquet(path), path

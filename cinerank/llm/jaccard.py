@@ -24,13 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import byte_column, coefficients, lower, mix, pieces, shingle_hashes, widened, word_hashes, word_spans
-from cinerank.session import materialize
+from cinerank.llm.common import byte_column, coefficients, lower, mix, pieces, settle, shingle_hashes, widened, word_hashes, word_spans
 
 WIDTH, THRESHOLD, BANDS, ROWS, STEP, TOLERANCE = 5, 0.8, 24, 4, 16, 1e-4
 HASHES = BANDS * ROWS
 
 
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    return settle(df, name)[0]
+
+
 def _digests(words: np.ndarray, row: np.ndarray, rows: int) -> list[bytes | None]:
     """128 bits of each row's sequence of words; None without a word."""
     n = np.bincount(row, minlength=rows)
@@ -138,13 +141,13 @@ def verify(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """node and comp (its smallest node) of the nodes of the links (a, b), by smallest labels and pointer jumping."""
-    both = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("comp")), "labels")
+    both = _keep(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = _keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = labels.join(near, "node").select("node", F.least("comp", "near").alias("next"), "comp")
         jump = step.join(labels.select(F.col("node").alias("next"), F.col("comp").alias("far")), "next", "left")
-        new = materialize(jump.select("node", F.least(F.col("next"), F.coalesce("far", "next")).alias("comp"), (F.col("comp") != F.least(F.col("next"), F.coalesce("far", "next"))).alias("moved")), "labels")
+        new = _keep(jump.select("node", F.least(F.col("next"), F.coalesce("far", "next")).alias("comp"), (F.col("comp") != F.least(F.col("next"), F.coalesce("far", "next"))).alias("moved")), "labels")
         moved = new.where("moved").limit(1).count()
         labels = new.select("node", "comp")
         if not moved:
@@ -154,32 +157,32 @@ def components(links: DataFrame) -> DataFrame:
 def _links(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """The verified links among candidate pairs (a, b)."""
     values = lambda k, v: nodes.select(F.col("node").alias(k), F.col("minhash").alias(v))
-    alive = materialize(prune(candidates.join(values("a", "x"), "a").join(values("b", "y"), "b").select("a", "b", "x", "y")), "alive")
+    alive = _keep(prune(candidates.join(values("a", "x"), "a").join(values("b", "y"), "b").select("a", "b", "x", "y")), "alive")
     wanted = alive.select(F.col("a").alias("node")).unionByName(alive.select(F.col("b").alias("node"))).distinct()
-    texts = materialize(
+    texts = _keep(
         sketch(docs.select(F.col(text).alias("text")), values=False).join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts"
     )
     side = lambda k, v: texts.select(F.col("node").alias(k), F.col("text").alias(v))
-    return materialize(verify(alive.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y")), "links")
+    return _keep(verify(alive.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y")), "links")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", rounds: int = 2) -> DataFrame:
     """The key, class_id (the smallest key of its class), n_links and n_copies (rows with the same words) of each row."""
-    rows = materialize(sketch(docs.select(F.col(key).alias("id"), F.col(text).alias("text"))).select("id", "node", "minhash"), "sketch")
-    nodes = materialize(rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("minhash").alias("minhash"), F.count(F.lit(1)).alias("rows")), "nodes")
+    rows = _keep(sketch(docs.select(F.col(key).alias("id"), F.col(text).alias("text"))).select("id", "node", "minhash"), "sketch")
+    nodes = _keep(rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("minhash").alias("minhash"), F.count(F.lit(1)).alias("rows")), "nodes")
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
     banded = nodes.select("node", "minhash", band.alias("band")).select(
         "node", F.xxhash64(F.expr(f"substring(minhash, band * {4 * ROWS} + 1, {4 * ROWS})"), "band").alias("bucket"))
     crowded = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1").select("bucket", "pivot")
-    members = materialize(banded.join(crowded, "bucket"), "members")
+    members = _keep(banded.join(crowded, "bucket"), "members")
     pairs = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    tried = materialize(pairs, "pairs")
+    tried = _keep(pairs, "pairs")
     links = _links(tried, nodes, docs, text)
     for k in range(rounds):
         comp = components(links)
         at = members.select("bucket", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         split = at.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("comp", "node")).alias("top")).where("lo != hi")
-        open_ = materialize(at.join(split.select("bucket", "top"), "bucket"), "open")
+        open_ = _keep(at.join(split.select("bucket", "top"), "bucket"), "open")
         if k < rounds - 1:  # another pivot, of another class, against the members of other classes
             more = open_.where(F.col("comp") != F.col("top.comp")).select(F.col("top.node").alias("a"), F.col("node").alias("b"))
         else:  # all pairs of a bucket that are not yet of one class
@@ -190,7 +193,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ro
             more = one.join(open_.select("bucket", F.col("comp").alias("q"), F.col("node").alias("b")), ["bucket", "q"]).select("a", "b")
         ordered = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = materialize(ordered.join(known, ["a", "b"], "left_anti"), "pairs")
+        fresh = _keep(ordered.join(known, ["a", "b"], "left_anti"), "pairs")
         if not fresh.limit(1).count():
             continue
         tried = tried.unionByName(fresh)

@@ -7,7 +7,7 @@ order of the table, null ids last.
 The method follows the difference-cover construction of suffix arrays for prefixes of fixed length: a sample of
 positions is named, names are compared first, and the positions between follow from the sample.  The cover is chosen
 by content: in every window of ``LENGTH`` bytes the position whose ``GRAM`` bytes have the smallest hash, so two equal
-windows always sample the same place, at a density of 1 in 35 instead of 2 in 3.  Names are Karp-Rabin fingerprints
+windows always sample the same place, at a density of 1 in 19 instead of 2 in 3.  Names are Karp-Rabin fingerprints
 (two primes, 62 bits).  Sampled grams that occur once end the comparison at once; around those that repeat, the
 stretch of windows that share a sampled position is named, equal stretches yield to the earliest, and only where
 stretches of one gram differ are the windows themselves named, sorted by name and position, and compared with the first
@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinerank.llm.blocks import pack, payloads
-from cinerank.llm.common import byte_column
-from cinerank.session import materialize
+from cinerank.llm.common import byte_column, settle
+from cinerank.session import remove_path
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM = 100, 64
 _PRIMES = ((2147483647, 1000003, 1), (2147483629, 16777619, 2))
 
 
@@ -198,29 +198,33 @@ def _cut(rows: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The key (long), n_bytes, n_removed, n_spans, kept_sha256 and, where bytes went, kept (the bytes left) of each row."""
+    spark = docs.sparkSession
     own = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    blocks = pack(own, "repeat-blocks")
+    blocks, blocks_at = pack(own, "repeat-blocks")
     # a name has a row a block at most
     shared = ask_names(blocks).withColumn("all", F.sum("n").over(Window.partitionBy("name"))).where("all > 1")
     repeated = shared.groupBy("block").agg(F.collect_list("name").alias("names"))
-    texts = materialize(stretches(blocks, repeated), "repeat-texts")
+    texts, _ = settle(stretches(blocks, repeated), "repeat-texts")
+    remove_path(spark, blocks_at)
 
     # null ids stand behind all others, which sorting null as the largest number gives
     order = F.coalesce("id", F.lit((1 << 63) - 1)).alias("id")
     each = texts.where(F.size("stretches") > 0).select("loc", order, F.explode("stretches").alias("s")).select(
         "s.name", "s.whole", F.struct("id", "loc", F.col("s.first").alias("first")).alias("place"), F.col("s.last").alias("last"))
-    classes = materialize(each.groupBy("name", "whole").agg(F.min(F.struct("place", "last")).alias("head")), "repeat-classes")
+    classes, classes_at = settle(each.groupBy("name", "whole").agg(F.min(F.struct("place", "last")).alias("head")), "repeat-classes")
     heads = classes.select("name", "whole", F.col("head.place").alias("head"))
     later = each.join(heads, ["name", "whole"]).where(F.col("place") != F.col("head")).select("place.loc", "place.first", "last")
     # grams around which texts differ: the first stretches of each kind are compared window by window
     several = classes.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("name")
     open_ = classes.join(several, "name", "left_semi").select("name", "head.place.loc", "head.place.first", "head.last")
     wanted = open_.groupBy("loc").agg(F.collect_list(F.struct("name", "first", "last")).alias("asked"))
-    windows = materialize(_windows(texts.where("text is not null").select("loc", order, "text").join(wanted, "loc")), "repeat-windows")
+    windows, windows_at = settle(_windows(texts.where("text is not null").select("loc", order, "text").join(wanted, "loc")), "repeat-windows")
     at = F.struct("id", "loc", "at")
     firsts = windows.groupBy("window").agg(F.min(at).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("window", "head")
     same = windows.join(firsts, "window").where(at != F.col("head")).select("loc", F.col("at").alias("first"), F.col("at").alias("last"))
-    gone = materialize(later.unionByName(same).groupBy("loc").agg(F.collect_list(F.struct("first", "last")).alias("gone")), "repeat-gone")
+    gone, _ = settle(later.unionByName(same).groupBy("loc").agg(F.collect_list(F.struct("first", "last")).alias("gone")), "repeat-gone")
+    for path in (classes_at, windows_at):
+        remove_path(spark, path)
     cut = _cut(texts.where("text is not null").select("loc", "id", "text").join(gone, "loc").select("id", "text", "gone"))
     whole = texts.select("loc", "id", "n_bytes", "digest").join(gone.select("loc"), "loc", "left_anti").select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("digest").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
     changed = cut.select("id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "kept")
