@@ -9,8 +9,8 @@ positions is named, names are compared first, and the positions between follow f
 by content: in every window of ``LENGTH`` bytes the position whose ``GRAM`` bytes have the smallest hash, so two equal
 windows always sample the same place, at a density of 1 in 19 instead of 2 in 3.  Names are Karp-Rabin fingerprints
 (two primes, 62 bits).  Sampled grams that occur once end the comparison at once; around those that repeat, the
-stretch of windows that share a sampled position is named, equal stretches yield to the earliest, and only where
-stretches of one gram differ are the windows themselves named, sorted by name and position, and compared with the first
+stretch of windows that share a sampled position is halved and each half named by what its windows share; equal
+stretches yield to the earliest, and only where stretches of one name differ are the windows themselves named, sorted by name and position, and compared with the first
 of their name.  Hot strings are summed before each shuffle.
 
 Null and empty texts lose nothing.  Rows are kept one for one.
@@ -123,6 +123,22 @@ def ask_names(blocks: DataFrame) -> DataFrame:
 _STRETCH = pa.list_(pa.struct([("name", pa.int64()), ("whole", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
 
 
+def _halves(prints: Prints, first: np.ndarray, last: np.ndarray, place: np.ndarray):
+    """Name, whole, first and last of the stretches cut in two: each half is named by the longer string that all its windows share."""
+    near = (LENGTH - GRAM) // 2
+    out = []
+    for f, e, start, size, salt in (
+        (np.maximum(first, place - near), last, place, LENGTH - near, 0),
+        (first, np.minimum(last, place - near - 1), place - near - 1, GRAM + near + 1, 1),
+    ):
+        ok = f <= e
+        f, e = f[ok], e[ok]
+        name = _scramble(prints.of(start[ok], size) ^ salt)
+        whole = _scramble(prints.of(f, e - f + LENGTH)) ^ (e - f).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+        out.append((name.astype(np.int64), whole.astype(np.int64), f, e))
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
 def stretches(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
     """loc (place in the table), id, n_bytes, digest (of the whole text), text (compressed, only where stretches repeat) and these stretches."""
     asked = blocks.join(repeated, "block", "left").select("block", "payload", "names")
@@ -137,12 +153,11 @@ def stretches(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
             if len(hot):
                 for r, buf in _rows(table):
                     prints = Prints(buf)
-                    first, last, _, name = sampled(prints, len(buf))
+                    first, last, place, name = sampled(prints, len(buf))
                     keep = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
-                    if keep.any():
-                        f, e, m = first[keep], last[keep], name[keep]
-                        whole = _scramble(prints.of(f, e - f + LENGTH)) ^ (e - f).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
-                        found[r] = list(zip(m.tolist(), whole.astype(np.int64).tolist(), f.tolist(), e.tolist(), strict=True))
+                    parts = _halves(prints, first[keep], last[keep], place[keep])
+                    if len(parts[0]):
+                        found[r] = list(zip(*(x.tolist() for x in parts), strict=True))
             for r in range(len(table)):
                 t = texts[r].as_py() or b""
                 out.append((base | r, ids[r].as_py(), len(t), hashlib.sha256(t).hexdigest(), pack_(t) if r in found else None, [dict(zip(("name", "whole", "first", "last"), x, strict=True)) for x in found.get(r, ())]))
