@@ -31,8 +31,11 @@ def java_trim(x: ColumnOrName) -> Column:
 
 
 def to_number(x: ColumnOrName, dtype: T.DataType | str, lenient: bool = False) -> Column:
-    """Text to a number: ``cast`` fails the job on bad text (ANSI), ``try_cast`` gives null."""
-    return _c(x).try_cast(dtype) if lenient else _c(x).cast(dtype)
+    """Text to a number: bad text fails the job, whether or not the session is ANSI; ``lenient`` gives null."""
+    c = _c(x)
+    if lenient:
+        return c.try_cast(dtype)
+    return F.when(c.isNotNull(), F.coalesce(c.try_cast(dtype), F.raise_error(F.concat(F.lit("not a number: "), c)).cast(dtype)))
 
 
 def epoch_seconds(ts: ColumnOrName) -> Column:

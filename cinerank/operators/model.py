@@ -89,9 +89,14 @@ def _top_k_kernel(k: int, positive_only: bool):
         s = U @ V.T
         kk = min(k, s.shape[1])
         # best kk per user row (unordered), then exact order is settled by the final window
-        idx = np.argpartition(-s, kk - 1, axis=1)[:, :kk]
-        rows = np.repeat(np.arange(s.shape[0]), kk)
-        cols = idx.reshape(-1)
+        least = np.partition(s, s.shape[1] - kk, axis=1)[:, s.shape[1] - kk]
+        # all above the kk-th score, and of those equal to it the smallest ids
+        order = np.argsort(i_ids, kind="stable")
+        above = s[:, order] > least[:, None]
+        tied = s[:, order] == least[:, None]
+        room = kk - above.sum(axis=1)
+        rows, cols = np.nonzero(above | (tied & (np.cumsum(tied, axis=1) <= room[:, None])))
+        cols = order[cols]
         vals = s[rows, cols]
         keep = vals > 0 if positive_only else np.ones_like(vals, dtype=bool)
         return pd.DataFrame({
@@ -115,9 +120,7 @@ def blocked_top_k(
     ``users`` is (uid, features) and ``items`` is (mid, features).  Each side is hashed
     into blocks; every user row is replicated to each item block and every item row to
     each user block, grouped by (user block, item block) and scored by one GEMM per group.
-    Ties on ``r`` are broken by the smaller rid.  Note: ``k`` per block is kept before the
-    final cut, so ties at the block boundary are settled exactly by the final window only
-    when the block keeps them; ties of equal float scores are rare for learned factors.
+    Ties on ``r`` are broken by the smaller rid, inside a block as in the final cut.
     """
     spark = users.sparkSession
     par = spark.sparkContext.defaultParallelism
@@ -159,13 +162,13 @@ def user_recommendations(
     outside the model have no prediction.  A user with no positive prediction has no row.
     Nested: ``uid, recs``; flat: ``uid, rid, r, rank``.
     ``method``: ``'blocked'`` (default, any catalogue), ``'als'`` (Spark's
-    ``recommendForUserSubset``; cross-joins factor blocks) or ``'auto'`` (``'als'`` when the
-    catalogue covers every model item, else ``'blocked'``).
+    ``recommendForUserSubset``, when the catalogue covers every model item, else ``'blocked'``)
+    or ``'auto'``, the same.
     """
     users = _factors(model.userFactors, "uid").join(ratings.select("uid").distinct(), "uid", "left_semi")
     item_f = _factors(model.itemFactors, "mid")
     cat = catalogue.select(F.col("mid").cast("int").alias("mid")).distinct()
-    if method == "auto":
+    if method in ("auto", "als"):  # Spark's method knows no catalogue
         uncovered = item_f.join(cat, "mid", "left_anti").limit(1).count()
         method = "als" if uncovered == 0 else "blocked"
     if method == "als":

@@ -21,8 +21,6 @@ from cinerank.operators.ranking import top_n_per_group
 from cinerank.session import materialize
 from cinerank.sinks.tables import bucket_of
 
-MAX_BROADCAST_KEYS = 2_000_000
-
 
 def restrict(big: DataFrame, keys: DataFrame, on: list[str], max_broadcast_rows: int | None = None) -> DataFrame:
     """Rows of ``big`` whose ``on`` columns appear in ``keys`` (left semi-join).
@@ -45,6 +43,8 @@ def restrict(big: DataFrame, keys: DataFrame, on: list[str], max_broadcast_rows:
         # read only the key set's bucket folders: the distinct bucket ids (at most the
         # layout's bucket count) become a partition filter of the scan
         col, buckets = bucketed
+        # the bucket is a hash of the stored type; a key that the type can't hold has no row
+        k = k.withColumn(on[0], F.col(on[0]).try_cast(big.schema[on[0]].dataType)).where(F.col(on[0]).isNotNull())
         k = k.withColumn(col, bucket_of(on[0], buckets))
         ids = [r[0] for r in k.select(col).distinct().collect()]
         big = big.where(F.col(col).isin(ids))

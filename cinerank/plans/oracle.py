@@ -167,7 +167,7 @@ WHERE "timestamp" > (SELECT max("timestamp") - 7776000 FROM ratings)
 GROUP BY mid ORDER BY count DESC, mid LIMIT 10""",
     "text_load_movies": """SELECT CAST(p_partkey AS INTEGER) AS mid, p_name AS name,
   'A ' || p_name || ' of brand ' || p_brand AS descri, CAST(p_size AS VARCHAR) || ' minutes' AS timelong,
-  'August 26, 1997' AS issue, '1995' AS shoot, 'English' AS language,
+  'size ' || CAST(p_size AS VARCHAR) AS issue, CAST(1950 + p_size AS VARCHAR) AS shoot, substr(p_type, 1, 4) AS language,
   concat_ws('|', p_type, replace(p_name, ' ', '|')) AS genres, replace(p_name, ' ', '|') AS actors, p_brand AS directors
 FROM part""",
     "user_item_pairs": with_views(V_RATINGS, V_MOVIES)

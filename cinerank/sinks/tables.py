@@ -80,6 +80,10 @@ def export_documents(df: DataFrame, path: str, id_col: str = "mid", fmt: str = "
     docs.write.mode("overwrite").format(fmt).options(**options).save(path)
 
 
+#: Ids of snapshots: this plus the newest batch they hold; below every batch id.
+SNAPSHOTS = -(1 << 62)
+
+
 def write_keyed_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Append the rows of one micro-batch under ``batch_id=<id>``; a replay of the same id
     overwrites only that partition (idempotent)."""
@@ -102,23 +106,28 @@ def read_keyed_latest(spark: SparkSession, path: str, key: str = "uid", schema:
 
 
 def compact_keyed(spark: SparkSession, path: str, key: str = "uid") -> int:
-    """Fold the history of a keyed table into its newest batch partition; returns that batch id.
+    """Fold the batches before the newest one into a snapshot partition; returns the newest batch id.
 
-    The newest row per key is written into the partition of the newest batch (dynamic
-    overwrite of that one partition), then older partitions are removed.  The newest row of
-    every key is present at each step, so readers see the same content throughout.  Run it
-    between micro-batches, not concurrently with a write of the same batch id.
+    The newest batch may be replayed, so it is left as it is: a replay rewrites only its own
+    partition, which holds nothing but its own rows.  The snapshot is a partition of its own
+    (an id below all batches, higher for later snapshots), written before the partitions it
+    replaces are removed, so readers find the newest row of every key at each step.
     """
-    from cinerank.session import materialize, remove_path
-
-    newest = int(spark.read.parquet(path).agg(F.max("batch_id").alias("m")).first()["m"])
-    latest = materialize(read_keyed_latest(spark, path, key), "compact")
-    write_keyed_batch(latest, path, newest)
+    from cinerank.session import remove_path
+
+    rows = spark.read.parquet(path)
+    newest = int(rows.agg(F.max("batch_id").alias("m")).first()["m"])
+    closed = rows.where(F.col("batch_id") < newest)
+    folded = closed.agg(F.max("batch_id").alias("m")).first()["m"]
+    if folded is None or folded < 0:
+        return newest
+    snapshot = SNAPSHOTS + int(folded)
+    write_keyed_batch(top_n_per_group(closed, [key], [F.desc("batch_id")], 1, "_pos").drop("_pos", "batch_id"), path, snapshot)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id=") and int(name.split("=", 1)[1]) < newest:
+        if st.isDirectory() and name.startswith("batch_id=") and int(name.split("=", 1)[1]) < newest and name != f"batch_id={snapshot}":
             remove_path(spark, st.getPath().toString())
     return newest

@@ -44,9 +44,9 @@ def movies_full(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("name"),
         F.concat(F.lit("A "), F.col("p_name"), F.lit(" of brand "), F.col("p_brand")).alias("descri"),
         F.concat(F.col("p_size").cast("string"), F.lit(" minutes")).alias("timelong"),
-        F.lit("August 26, 1997").alias("issue"),
-        F.lit("1995").alias("shoot"),
-        F.lit("English").alias("language"),
+        F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("issue"),
+        (F.lit(1950) + F.col("p_size")).cast("string").alias("shoot"),
+        F.substring("p_type", 1, 4).alias("language"),
         F.concat_ws("|", F.col("p_type"), F.regexp_replace("p_name", " ", "|")).alias("genres"),
         F.regexp_replace("p_name", " ", "|").alias("actors"),
         F.col("p_brand").alias("directors"),

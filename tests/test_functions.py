@@ -26,7 +26,7 @@ def test_half_up_on_decimal_text(spark):
 
 def test_year_month_utc_around_midnight(spark):
     # 2009-12-31 23:59:59 and 2010-01-01 00:00:00 UTC
-    got = one(spark, year_month("t"), [(1262303999,), (1262304000,), (1260759144,)], "t int")
+    got = one(spark, year_month("t"), [(1262303999,), (1262304000,), (1261000000,)], "t int")
     assert got == [200912, 201001, 200912]
 
 
@@ -56,8 +56,8 @@ def test_cosine_zero_vector_is_nan_or_null(spark):
 
 def test_sql_functions_registered(spark):
     register_sql_functions(spark)
-    r = spark.sql("SELECT changeDate(1260759144) m, halfUp(2.675, 2) h, splitGe('Crime|Drama|Thriller') g").first()
-    assert (r.m, r.h, r.g) == (200912, 2.68, ["Crime", "Drama", "Thriller"])
+    r = spark.sql("SELECT changeDate(1261000000) m, halfUp(2.675, 2) h, splitGe('Noir|Family') g").first()
+    assert (r.m, r.h, r.g) == (200912, 2.68, ["Noir", "Family"])
     assert spark.createDataFrame([(1,)], "x int").select(F.expr("changeDate(1262304000)")).first()[0] == 201001
 
 

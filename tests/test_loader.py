@@ -20,12 +20,12 @@ def write_lines(d, name, lines):
 
 def test_movie_scan_trims_and_keeps_trailing_empty_fields(spark, tmp_dir):
     p = write_lines(tmp_dir, "movies", [
-        "151^Rob Roy (1995)^In the highlands ....^139 minutes^August 26, 1997^1995^English ^Action|Drama|Romance|War ^Liam Neeson|Jessica Lange^Michael Caton-Jones",
+        "42^The Paper Kite^A kite and its string^95 minutes^May 2, 2011^2010^Welsh ^Comedy|Family ^Ann Ash|Bo Birch^Cy Cedar",
         "7^Empty^^^^^^^^",
         "8^Extra^a^b^c^d^e^f^g^h^ignored",
     ])
     rows = {r.mid: r for r in load_movies_text(spark, p).collect()}
-    assert rows[151].genres == "Action|Drama|Romance|War" and rows[151].language == "English"
+    assert rows[42].genres == "Comedy|Family" and rows[42].language == "Welsh"
     assert rows[7].genres == "" and rows[7].directors == ""
     assert rows[8].directors == "h"
 
@@ -39,15 +39,15 @@ def test_movie_scan_bad_id_strict_and_lenient(spark, tmp_dir):
 
 
 def test_ratings_and_tags_scans(spark, tmp_dir):
-    rp = write_lines(tmp_dir, "ratings", ["1,31,2.5,1260759144", "1,1029,3.0,1260759179"])
-    assert [tuple(r) for r in load_ratings_text(spark, rp).collect()] == [(1, 31, 2.5, 1260759144), (1, 1029, 3.0, 1260759179)]
-    tp = write_lines(tmp_dir, "tags", ['15,1955, dentist ,1193435061', '15,7478,"Cambodia, war",1170560997'])
+    rp = write_lines(tmp_dir, "ratings", ["3,17,4.5,1500000000", "3,18,1.0,1500000060"])
+    assert [tuple(r) for r in load_ratings_text(spark, rp).collect()] == [(3, 17, 4.5, 1500000000), (3, 18, 1.0, 1500000060)]
+    tp = write_lines(tmp_dir, "tags", ['9,21, harbour ,1400000000', '9,22,"tea, cake",1400000500'])
     got = [tuple(r) for r in load_tags_text(spark, tp).collect()]
-    assert got == [(15, 1955, "dentist", 1193435061), (15, 7478, "Cambodia, war", 1170560997)]
+    assert got == [(9, 21, "harbour", 1400000000), (9, 22, "tea, cake", 1400000500)]
 
 
 def test_bad_rating_strict_fails_lenient_nulls(spark, tmp_dir):
-    rp = write_lines(tmp_dir, "r2", ["1,31,abc,1260759144", "2,5"])
+    rp = write_lines(tmp_dir, "r2", ["1,31,abc,1500000000", "2,5"])
     with pytest.raises((PySparkException, Exception)):
         load_ratings_text(spark, rp).collect()
     got = sorted(load_ratings_text(spark, rp, lenient=True).collect(), key=lambda r: r.uid)
