@@ -127,7 +127,7 @@ def shingle_hashes(words: np.ndarray, row: np.ndarray, rows: int, width: int) ->
         out, of = mix(h[whole]), row[:len(h)][whole]
         short = np.flatnonzero((n > 0) & (n < width))
         if len(short):
-            extra = [mix(np.array([(words[first[r]:first[r] + n[r]] * c[:n[r]]).sum() + np.uint64(n[r])], np.uint64))[0] for r in short]
+            extra = [mix(np.array([(words[first[r]:first[r] + n[r]] * c[:n[r]]).sum()], np.uint64))[0] for r in short]
             out, of = np.concatenate([out, np.array(extra, np.uint64)]), np.concatenate([of, short])
             order = np.argsort(of, kind="stable")
             out, of = out[order], of[order]
