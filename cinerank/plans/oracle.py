@@ -42,6 +42,19 @@ def v_edges(t: float, name: str = "edges") -> str:
   WHERE r > {t} AND NOT isnan(r))"""
 
 
+def v_factors(rank: int = 64, scale: float = 1.0, name: str = "factors") -> str:
+    """Fixed factors of ids as items (v) and users (u)."""
+    return f"""{name} AS (
+  SELECT id, v, list_reverse(v) AS u FROM (
+    SELECT CAST(vec_id AS INTEGER) AS id, list_transform(embedding[1:{rank}], lambda x: floor(CAST(x AS DOUBLE) * 16) * {scale}) AS v
+    FROM embeddings))"""
+
+
+V_PREDICTIONS = """predictions AS (
+  SELECT r.*, list_inner_product(a.u, b.v) AS prediction
+  FROM ratings r JOIN factors a ON a.id = r.uid JOIN factors b ON b.id = r.mid)"""
+
+
 V_TRIGGERS = """triggers AS (
   SELECT uid, mid FROM (
     SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS pos
@@ -202,6 +215,22 @@ WHERE rank <= 20 AND NOT EXISTS (SELECT 1 FROM rated x WHERE x.uid = top.uid AND
 LEFT JOIN (SELECT mid, coalesce(string_agg(DISTINCT tag, '|' ORDER BY tag), '') AS tags FROM tags GROUP BY mid) t
 ON m.mid = t.mid""",
 }
+SQL["factor_user_top20"] = with_views(V_RATINGS, V_MOVIES, v_factors(), """scored AS (
+  SELECT a.id AS uid, b.id AS rid, list_inner_product(a.u, b.v) AS r FROM factors a CROSS JOIN factors b
+  WHERE a.id IN (SELECT uid FROM ratings) AND b.id IN (SELECT mid FROM movies))""") + """SELECT uid, rid, r,
+  CAST(row_number() OVER (PARTITION BY uid ORDER BY r DESC, rid) AS INTEGER) AS rank
+FROM scored WHERE r > 0 QUALIFY rank <= 20"""
+SQL["factor_predictions"] = with_views(V_RATINGS, v_factors(), V_PREDICTIONS) + "SELECT * FROM predictions"
+SQL["factor_rmse"] = with_views(V_RATINGS, v_factors(), V_PREDICTIONS) + """SELECT 'row' AS duplicates, sqrt(avg((score - prediction) ** 2)) AS rmse FROM predictions
+UNION ALL SELECT 'join', sqrt(avg((r.score - p.prediction) ** 2)) FROM predictions r JOIN predictions p ON r.uid = p.uid AND r.mid = p.mid"""
+SQL["factor_item_similarity"] = with_views(v_factors(), "item_vectors AS (SELECT id AS mid, v AS features FROM factors)", v_edges(0.3)) + "SELECT mid, rid, r FROM edges"
+SQL["factor_best_params"] = with_views(
+    V_RATINGS, *(v_factors(k, s, f"f{i}{j}") for i, k in enumerate((16, 64)) for j, s in enumerate((0.125, 0.5)))
+) + "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT {k} AS rank, CAST({s} AS DOUBLE) AS reg, sqrt(avg((r.score - list_inner_product(a.u, b.v)) ** 2)) AS rmse "
+    f"FROM ratings r JOIN f{i}{j} a ON a.id = r.uid JOIN f{i}{j} b ON b.id = r.mid"
+    for i, k in enumerate((16, 64)) for j, s in enumerate((0.125, 0.5))
+) + ") ORDER BY rmse, rank, reg LIMIT 1"
 SQL["stream_recs_stateful"] = SQL["stream_recs"]
 SQL["rerank_bucketed"] = SQL["rerank"]
 for _name in ("rating_counts", "monthly_rating_counts", "average_scores", "genre_top10", "recent_top10"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ HQ_MIN_AVG, HQ_MIN_COUNT = 3.2, 25
 # similarity thresholds for the fixture vectors: no pair reaches the default 0.6
 EDGE_T = 0.2  # the similarity table used by the online queries
 PAIR_T = 0.3  # the similarity queries
+FACTOR_RANKS, FACTOR_SCALES = (16, 64), (0.125, 0.5)  # the grid of fixed models
 ROUND = 6  # cosines and scores are rounded to 6 places on both sides of the check
 
 
@@ -285,6 +287,49 @@ def q_als_grid(spark, d):
     return model.tune_als(stored_ratings(spark, d))
 
 
+def factors(spark, d, rank=64, scale=1.0):
+    """A fixed model over ``embeddings``: item factors are the first ``rank`` components in
+    sixteenths, rounded down, user factors the same backwards, both times ``scale``.
+
+    With a power of two as scale every dot product is exact in double precision, and many tie.
+    """
+    sixteenths = F.transform("features", lambda x: F.floor(x * 16).cast("double") * F.lit(scale))
+    items = fx.item_vectors(spark, d).select(F.col("mid").alias("id"), F.slice(sixteenths, 1, rank).alias("features"))
+    users = items.select("id", F.reverse("features").alias("features"))
+    return SimpleNamespace(userFactors=users, itemFactors=items)
+
+
+def q_factor_user_top20(spark, d):
+    """Top 20 of the catalogue per rating user under the fixed factors (ties by item id)."""
+    return model.user_recommendations(factors(spark, d), fx.ratings(spark, d), fx.movies(spark, d), 20, nested=False)
+
+
+def q_factor_predictions(spark, d):
+    return model.predict(factors(spark, d), fx.ratings(spark, d))
+
+
+def q_factor_rmse(spark, d):
+    """Both rules for repeated pairs: ``duplicates, rmse``."""
+    r, m = stored_ratings(spark, d), factors(spark, d)
+    one, two = (model.rmse(m, r, rule).select(F.lit(rule).alias("duplicates"), "rmse") for rule in ("row", "join"))
+    return one.unionByName(two)
+
+
+def q_factor_item_similarity(spark, d):
+    return model.item_similarity(factors(spark, d), PAIR_T, round_to=ROUND)
+
+
+def q_factor_best_params(spark, d):
+    """The best of a grid of fixed models, their length as ``rank`` and their scale as ``reg``."""
+    r = stored_ratings(spark, d)
+    grid = None
+    for rank in FACTOR_RANKS:
+        for scale in FACTOR_SCALES:
+            one = model.rmse(factors(spark, d, rank, scale), r).select(F.lit(rank).alias("rank"), F.lit(scale).alias("reg"), "rmse")
+            grid = one if grid is None else grid.unionByName(one)
+    return model.best_params(grid)
+
+
 QUERIES: dict[str, Query] = {
     "rating_counts": q_rating_counts,
     "monthly_rating_counts": q_monthly_rating_counts,
@@ -329,4 +374,9 @@ QUERIES: dict[str, Query] = {
     "als_item_similarity_lists": q_als_item_similarity_lists,
     "als_rmse": q_als_rmse,
     "als_grid": q_als_grid,
+    "factor_user_top20": q_factor_user_top20,
+    "factor_predictions": q_factor_predictions,
+    "factor_rmse": q_factor_rmse,
+    "factor_item_similarity": q_factor_item_similarity,
+    "factor_best_params": q_factor_best_params,
 }
