@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -185,15 +186,17 @@ def fit_texts(texts: list[str], langs: list[str], seed: int = 7) -> Model | None
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
-    """A model from the text and lang of the rows given; null texts and languages are left out."""
-    rows = docs.select("text", "lang").where("text is not null and lang is not null")
+    """A model from the text and lang of the rows given; null texts and languages are left out, copies count once."""
+    rows = docs.select("text", "lang", F.xxhash64("text").alias("h")).where("text is not null and lang is not null")
     langs = sorted(r[0] for r in rows.select("lang").distinct().collect())
-    texts, of = [], []
-    for lang in langs:
-        got = rows.where(F.col("lang") == lang).orderBy(F.xxhash64("text"), "text").limit(per_language).toArrow()
-        texts += got.column("text").to_pylist()
-        of += [lang] * len(got)
-    return fit_texts(texts, of)
+    if not langs:
+        return None
+    pick = lambda x: rows.where(F.col("lang") == x).select("lang", "h").distinct().orderBy("h").limit(per_language)
+    sample = reduce(DataFrame.unionByName, map(pick, langs))
+    # at most per_language rows of two small values for each language
+    got = rows.join(F.broadcast(sample), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).toArrow().to_pylist()
+    got.sort(key=lambda r: (r["lang"], r["h"]))
+    return fit_texts([r["text"] for r in got], [r["lang"] for r in got])
 
 
 def label_texts(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
