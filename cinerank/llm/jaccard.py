@@ -8,8 +8,9 @@ its similarity reaches the threshold falls below ``TOLERANCE``; the rest are ver
 
 A bucket's members are first compared with one pivot each round, so a group of n near copies takes n comparisons;
 only pairs that share a bucket but not yet a class are then compared one by one.  Thus no link between different
-classes is lost, and none inside a class needs expanding: ``n_links`` counts the verified links followed, not all
-pairs of a class.
+classes is lost.  ``n_links`` counts for each node all other nodes that reach the threshold: once the classes are
+settled, the nodes of a class are dealt into sides of about ``SIDE`` by a salt, side is compared with side in one task
+by exact counts of common shingles, and only each node's number of links leaves it.
 
 Null and empty texts are classes of their own (each row; the class of a row with a null id is then null).  Rows are
 kept one for one, repeated ones too.
@@ -28,6 +29,8 @@ from cinerank.llm.common import byte_column, coefficients, lower, mix, pieces, s
 
 WIDTH, THRESHOLD, BANDS, ROWS, STEP, TOLERANCE = 5, 0.8, 24, 4, 16, 1e-4
 HASHES = BANDS * ROWS
+#: Nodes and bytes of text in a side of a class, about; and shingles counted at once.
+SIDE, SIDE_BYTES, COLUMNS = 128, 4 << 20, 4096
 
 
 def _keep(df: DataFrame, name: str) -> DataFrame:
@@ -166,8 +169,58 @@ def _links(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, text: str)
     return _keep(verify(alive.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y")), "links")
 
 
+def _near(shingles: np.ndarray, of: np.ndarray, first: np.ndarray, second: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each row marked in ``first`` and each in ``second`` reach the threshold; ``of`` is the row of a shingle."""
+    order = np.lexsort((of, shingles))
+    shingles, of = shingles[order], of[order]
+    new = np.ones(len(of), bool)
+    new[1:] = (shingles[1:] != shingles[:-1]) | (of[1:] != of[:-1])
+    shingles, of = shingles[new], of[new]
+    size = np.bincount(of, minlength=len(first)).astype(float)
+    common = np.zeros((int(first.sum()), int(second.sum())))
+    if len(of):
+        col = np.cumsum(np.append(False, shingles[1:] != shingles[:-1]))
+        n, m, both = (np.bincount(col, side[of]) for side in (first, second, first & second))
+        shared = (n > 0) & (m > 0) & (n + m - both > 1)
+        of, col = of[shared[col]], (np.cumsum(shared) - 1)[col[shared[col]]]
+        for c in range(0, int(shared.sum()), COLUMNS):
+            i, j = np.searchsorted(col, [c, c + COLUMNS])
+            x = np.zeros((len(first), min(COLUMNS, int(shared.sum()) - c)), np.float32)
+            x[of[i:j], col[i:j] - c] = 1
+            common += x[first] @ x[second].T
+    return common >= threshold * (size[first][:, None] + size[second][None, :] - common)
+
+
+def degrees(comp: DataFrame, docs: DataFrame, text: str, threshold: float = THRESHOLD) -> DataFrame:
+    """node and n_links, the number of other nodes of its class (node, comp) that reach the threshold."""
+    texts = _keep(sketch(docs.select(F.col(text).alias("text")), values=False).join(comp, "node").dropDuplicates(["node"]), "class-texts")
+    sides = texts.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / SIDE), F.ceil(F.sum(F.octet_length("text")) / SIDE_BYTES)).cast("int").alias("sides"))
+    dealt = texts.join(sides, "comp").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+
+    def count(t: pa.Table) -> pa.Table:
+        low, high, side = (t.column(c).to_numpy() for c in ("low", "high", "side"))
+        first, second = side == low, side == high
+        buf, off = byte_column(t.column("text"))
+        parts = []
+        for i, j in pieces(off):
+            own = lower(buf[off[i]:off[j]])
+            s, e, row = word_spans(own, off[i:j + 1] - off[i])
+            hashes, of = shingle_hashes(word_hashes(own, s, e), row, j - i, WIDTH)
+            parts.append((hashes, of + i))
+        near = _near(*(np.concatenate(x) for x in zip(*parts, strict=True)), first, second, threshold)
+        n = np.zeros(len(side), np.int64)
+        if low[0] == high[0]:
+            n += near.sum(axis=1) - near.diagonal()
+        else:
+            n[first], n[second] = near.sum(axis=1), near.sum(axis=0)
+        return pa.table({"node": t.column("node"), "n": pa.array(n)})
+
+    met = dealt.select("comp", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "text")
+    return met.groupBy("comp", "low", "high").applyInArrow(count, "node binary, n long").groupBy("node").agg(F.sum("n").alias("n_links"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", rounds: int = 2) -> DataFrame:
-    """The key, class_id (the smallest key of its class), n_links and n_copies (rows with the same words) of each row."""
+    """The key, class_id (the smallest key of its class), n_links (other texts that reach the threshold) and n_copies (rows with the same words) of each row."""
     rows = _keep(sketch(docs.select(F.col(key).alias("id"), F.col(text).alias("text"))).select("id", "node", "minhash"), "sketch")
     nodes = _keep(rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("minhash").alias("minhash"), F.count(F.lit(1)).alias("rows")), "nodes")
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
@@ -199,7 +252,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ro
         tried = tried.unionByName(fresh)
         links = links.unionByName(_links(fresh, nodes, docs, text))
     comp = components(links)
-    degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = degrees(comp, docs, text)
     known = nodes.select("node", "id", "rows").join(comp, "node", "left").join(degree, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = known.groupBy("comp").agg(F.min("id").alias("class_id"))
     table = known.join(smallest, "comp").select("node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("rows") - 1).alias("n_copies"))

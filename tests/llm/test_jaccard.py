@@ -63,3 +63,28 @@ def test_odd_rows(spark):
     out = sorted((r["doc_id"] or 0, r["class_id"], r["n_links"], r["n_copies"]) for r in jaccard.near_duplicates(docs).collect())
     assert out == [(0, 4, 0, 3), (1, 1, 0, 0), (2, 2, 0, 0), (3, 3, 0, 0), (4, 4, 0, 3), (5, 4, 0, 3), (5, 4, 0, 3), (7, 7, 0, 0)]
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
+
+
+def links(rows):
+    """The number of other texts that reach the threshold, by id; rows with the same words are one text."""
+    sets = [(k, shingles(t), " ".join((t or "").lower().split())) for k, t in rows]
+    return {k: len({u for _, b, u in sets if u != t and a and b and len(a & b) >= 0.8 * len(a | b)}) for k, a, t in sets}
+
+
+def test_every_link_counts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SIDE", 8)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(k, " ".join(f"x{k}" if i == 3 * k else w for i, w in enumerate(base))) for k in range(40)]
+    rows += [(100 + k, " ".join(f"c{i}" for i in range(8 * k, 8 * k + 130))) for k in range(6)]
+    rows += [(200 + k, f"{'same ' * 5}" + " ".join(f"t{i}" for i in range(60)) + f" end{k}") for k in range(3)]  # three texts, all near
+    rows += [(300, rows[-1][1]), (301, "alone and only here, of eight words in all")]
+    want = links(rows)
+    assert [want[200 + k] for k in range(3)] == [2, 2, 2]
+    got_ = {r["doc_id"]: r["n_links"] for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got_ == want
+
+
+def test_links_of_the_fixture_against_brute_force(spark):
+    docs = read(spark, SF, "documents")
+    want = links([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
+    assert {r["doc_id"]: r["n_links"] for r in jaccard.near_duplicates(docs).collect()} == want
