@@ -24,12 +24,14 @@ EDGE_SCHEMA = "mid int, rid int, r double"
 
 
 def nonzero_vectors(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features") -> DataFrame:
-    """``(mid, _u)`` with ``_u`` the original float vector; zero and null vectors are dropped.
+    """``(mid, _u)`` with ``_u`` the original vector; zero and null vectors are dropped.
 
-    The kernel normalises in float64 after the shuffle, so only 4 bytes per component
-    are replicated across block pairs.
+    The kernel normalises in float64 after the shuffle, so a float vector is replicated with
+    4 bytes per component; doubles stay doubles.
     """
-    v = vectors.select(F.col(id_col).cast("int").alias("mid"), F.transform(vec_col, lambda x: x.cast("float")).alias("_u"))
+    kind = vectors.schema[vec_col].dataType.simpleString()
+    u = F.col(vec_col) if kind in ("array<float>", "array<double>") else F.col(vec_col).cast("array<double>")
+    v = vectors.select(F.col(id_col).cast("int").alias("mid"), u.alias("_u"))
     sq = F.aggregate("_u", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     return v.where(sq > 0)
 
