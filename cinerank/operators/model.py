@@ -1,11 +1,11 @@
 """Factor model: ALS training, top-N items per user over a catalogue, item similarity from
 item factors, RMSE and the parameter grid.
 
-Top-N over the catalogue is an all-pairs problem.  Users and catalogue items are spread
-over blocks and each (user block, item block) group is scored by one numpy GEMM in
-``applyInPandas`` keeping only its best ``n`` per user; a ``WindowGroupLimit`` then keeps
-the best ``n`` over all item blocks.  No user x item row product is planned, no cross join
-is planned (blocks meet through an equi-grouping), and no group grows with the data.
+Top-N over the catalogue is an all-pairs problem.  ``topk.pruned_top_k`` streams the items by
+falling norm past blocks of users, who leave once no later item can enter their list.
+``blocked_top_k`` scores every (user block, item block) group by one numpy GEMM in
+``applyInPandas`` and keeps the best ``n`` over all item blocks by a ``WindowGroupLimit``.
+Neither plans a user x item row product or a cross join, and no group grows with the data.
 Spark's own recommender (which cross-joins factor blocks) is available as ``method='als'``.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from cinerank.functions.recs import recs_array
 from cinerank.operators.ranking import top_n_per_group
 from cinerank.operators.similarity import similar_lists, similar_pairs
+from cinerank.operators.topk import pruned_top_k
 
 # reference settings
 RANK, MAX_ITER, REG = 50, 5, 0.01
@@ -154,33 +155,33 @@ def user_recommendations(
     catalogue: DataFrame,
     n: int = 20,
     nested: bool = True,
-    method: str = "blocked",
+    method: str = "pruned",
 ) -> DataFrame:
     """Best ``n`` catalogue items per user of ``ratings`` with prediction > 0.
 
     Rated items are kept (as in the reference).  Catalogue ids are de-duplicated; items
     outside the model have no prediction.  A user with no positive prediction has no row.
     Nested: ``uid, recs``; flat: ``uid, rid, r, rank``.
-    ``method``: ``'blocked'`` (default, any catalogue), ``'als'`` (Spark's
-    ``recommendForUserSubset``, when the catalogue covers every model item, else ``'blocked'``)
-    or ``'auto'``, the same.
+    ``method``: ``'pruned'`` (default: items by falling norm, users leave early), ``'blocked'``
+    (every user block meets every item block) or ``'als'`` (Spark's ``recommendForUserSubset``,
+    which knows no catalogue and scores in single precision; fails unless the catalogue covers
+    every model item).  ``'auto'`` is ``'pruned'``.
     """
     users = _factors(model.userFactors, "uid").join(ratings.select("uid").distinct(), "uid", "left_semi")
     item_f = _factors(model.itemFactors, "mid")
     cat = catalogue.select(F.col("mid").cast("int").alias("mid")).distinct()
-    if method in ("auto", "als"):  # Spark's method knows no catalogue
-        uncovered = item_f.join(cat, "mid", "left_anti").limit(1).count()
-        method = "als" if uncovered == 0 else "blocked"
     if method == "als":
+        if item_f.join(cat, "mid", "left_anti").limit(1).count():
+            raise ValueError("the catalogue lacks items of the model")
         recs = model.recommendForUserSubset(ratings.select("uid").distinct(), n)
         flat = recs.select("uid", F.posexplode("recommendations").alias("_p", "_x")).select(
             "uid", F.col("_x.mid").alias("rid"), F.col("_x.rating").cast("double").alias("r"))
         flat = top_n_per_group(flat.where(F.col("r") > 0), ["uid"], [F.desc("r"), F.asc("rid")], n)
-    elif method == "blocked":
+    elif method in ("pruned", "auto", "blocked"):
         items = item_f.join(cat, "mid", "left_semi")
-        flat = blocked_top_k(users, items, n)
+        flat = blocked_top_k(users, items, n) if method == "blocked" else pruned_top_k(users, items, n)
     else:
-        raise ValueError("method must be 'auto', 'als' or 'blocked'")
+        raise ValueError("method must be 'pruned', 'blocked', 'als' or 'auto'")
     if not nested:
         return flat.select("uid", "rid", "r", F.col("rank").cast("int").alias("rank"))
     return recs_array(flat, "uid", "rid", "r", "rank")

@@ -1,0 +1,92 @@
+"""Pruned top-k against brute force, with ties, and how much the norm bound saves."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cinerank.operators import model
+from cinerank.operators.topk import Block, Work, pruned_top_k
+
+
+def frames(spark, u, v):
+    users = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(u)], "uid int, features array<double>")
+    items = spark.createDataFrame([(j, [float(c) for c in x]) for j, x in enumerate(v)], "mid int, features array<double>")
+    return users, items
+
+
+def brute(u, v, k, positive=True):
+    out = []
+    for i, s in enumerate(np.asarray(u, float) @ np.asarray(v, float).T):
+        order = sorted((j for j in range(len(v)) if not positive or s[j] > 0), key=lambda j: (-s[j], j))[:k]
+        out += [(i, j, float(s[j]), n + 1) for n, j in enumerate(order)]
+    return out
+
+
+def rows(df):
+    return sorted((r["uid"], r["rid"], r["r"], r["rank"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("positive", [True, False])
+@pytest.mark.parametrize("user_rows", [1 << 17, 7])
+def test_ties_and_signs(spark, positive, user_rows):
+    rng = np.random.default_rng(4)
+    u, v = rng.integers(-2, 3, (60, 5)), rng.integers(-2, 3, (300, 5))
+    users, items = frames(spark, u, v)
+    got = rows(pruned_top_k(users, items, 9, positive, user_rows))
+    assert got == sorted(brute(u, v, 9, positive))
+
+
+def test_same_as_all_blocks(spark):
+    rng = np.random.default_rng(6)
+    users, items = frames(spark, rng.integers(-3, 4, (40, 4)), rng.integers(-3, 4, (200, 4)))
+    assert rows(pruned_top_k(users, items, 20)) == rows(model.blocked_top_k(users, items, 20, block_rows=32))
+
+
+def test_fewer_items_than_k_and_empty_sides(spark):
+    users, items = frames(spark, [[1.0, 0.0], [0.0, 0.0]], [[2.0, 1.0], [2.0, 3.0], [-1.0, 0.0]])
+    assert rows(pruned_top_k(users, items, 20)) == [(0, 0, 2.0, 1), (0, 1, 2.0, 2)]
+    assert pruned_top_k(users, items.limit(0), 5).count() == 0 and pruned_top_k(users.limit(0), items, 5).count() == 0
+
+
+def test_rows_of_one_user_are_merged_and_copies_count_once(spark):
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None)], "uid int, features array<double>")
+    items = spark.createDataFrame([(7, [3.0, 0.0]), (7, [3.0, 0.0]), (8, [0.0, 2.0]), (9, [1.0, 0.0])], "mid int, features array<double>")
+    assert [r[1:] for r in rows(pruned_top_k(users, items, 2))] == [(7, 3.0, 1), (8, 2.0, 2)]
+
+
+def test_long_tail_is_skipped(spark):
+    """Norms that fall off as popularity does: most products never happen, and the lists are the same."""
+    rng = np.random.default_rng(8)
+    v = rng.standard_normal((6000, 16)) * (1.0 / np.sqrt(1 + np.arange(6000)))[:, None]
+    u = rng.standard_normal((50, 16))
+    users, items = frames(spark, u, v)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        work = Work(spark)
+        got = rows(pruned_top_k(users, items, 10, work=work))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in sorted(brute(u, v, 10))]
+    assert work.scored.value + work.skipped.value == 50 * 6000 and work.skipped_share > 0.7
+
+
+def test_block_holds_only_its_lists():
+    rng = np.random.default_rng(9)
+    b = Block(np.arange(30), rng.standard_normal((30, 8)), 5)
+    y = rng.standard_normal((4000, 8))
+    norm = np.linalg.norm(y, axis=1)
+    order = np.argsort(-norm)
+    for i in range(0, 4000, 400):
+        at = order[i:i + 400]
+        b.meet(at, y[at], norm[at])
+    assert b.scores.shape == (30, 5)
+    s = b.x @ y.T
+    assert all(set(b.items[i]) == set(np.argsort(-s[i])[:5]) for i in range(30))
+
+
+def test_plan_ships_items_once_a_block(spark):
+    users, items = frames(spark, np.ones((100, 2)), np.ones((10, 2)))
+    plan = pruned_top_k(users, items, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Window" not in plan
+    assert users.select(F.count("*")).first()[0] == 100
