@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cinerank.functions.recs import pack_recs, recs_array, unpack_recs
 from cinerank.functions.scalar import log2_count
-from cinerank.operators.ranking import top_n_per_group
+from cinerank.operators.ranking import row_number_per_key, top_n_per_group
 from cinerank.session import materialize
 from cinerank.sinks.tables import bucket_of
 
@@ -105,6 +105,57 @@ def similar_unrated(triggers: DataFrame, edges: DataFrame, ratings: DataFrame) -
     return sims.join(_rated_of(ratings, t), ["uid", "rid"], "left_anti").select("uid", "mid", "rid", "r")
 
 
+#: Neighbours of an item stored under one chunk number of a ranked edge table.
+CHUNK = 64
+
+
+def ranked_edges(edges: DataFrame) -> DataFrame:
+    """The edge table with ``rank``, the place of ``rid`` among the neighbours of ``mid`` (``r`` desc, ``rid``), and
+    ``chunk``, the number of the rank's run of ``CHUNK`` ranks.
+
+    Made once when the edges are stored; neighbours of a hot item are numbered in several tasks.  An edge that occurs
+    twice keeps its larger ``r``.
+    """
+    one = edges.groupBy("mid", "rid").agg(F.max("r").alias("r"))
+    out = row_number_per_key(one, ["mid"], [F.desc("r"), F.asc("rid")])
+    return out.withColumn("chunk", F.floor((F.col("rank") - 1) / CHUNK).cast("int"))
+
+
+def rated_counts(ratings: DataFrame, triggers: DataFrame) -> DataFrame:
+    """Number of distinct items each of the batch's users has rated: ``uid, n_rated`` (0 for none)."""
+    t = triggers.select("uid").distinct()
+    n = rated_pairs(ratings, t).groupBy("uid").agg(F.count(F.lit(1)).alias("n_rated"))
+    return t.join(n, "uid", "left").select("uid", F.coalesce("n_rated", F.lit(0)).alias("n_rated"))
+
+
+def neighbour_prefixes(triggers: DataFrame, ranked: DataFrame, need: DataFrame) -> DataFrame:
+    """The first ``need`` neighbours of each trigger's item: ``uid, mid, rid, r, rank``.
+
+    ``need`` is (uid, need).  A trigger asks for the chunks that its prefix touches, so the join on (mid, chunk) reads
+    less than one chunk more than it returns, however many neighbours the item has.
+    """
+    chunk = F.floor((F.col("need") - 1) / CHUNK).cast("int")
+    t = triggers.select("uid", "mid").distinct().join(need, "uid").where("need > 0")
+    asked = t.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunk)))
+    e = ranked.join(asked.select("mid", "chunk").distinct(), ["mid", "chunk"], "left_semi")
+    return asked.join(e, ["mid", "chunk"]).where("rank <= need").select("uid", "mid", "rid", "r", "rank")
+
+
+def ranked_candidates(triggers: DataFrame, ranked: DataFrame, ratings: DataFrame, k: int = 20, filter_first: bool = True) -> DataFrame:
+    """``candidates`` from a ``ranked_edges`` table, reading only a prefix of each item's neighbours.
+
+    A user who has rated m items finds the ``k`` best others among the first k + m neighbours, for at most m of them are
+    rated; with ``filter_first=False`` the first k are enough.  So at most k + m rows a trigger reach the anti-join.
+    """
+    t = materialize(triggers.select("uid", "mid").distinct(), "asked")
+    need = rated_counts(ratings, t).select("uid", (F.col("n_rated") + k).alias("need")) if filter_first else t.select("uid").distinct().withColumn("need", F.lit(k))
+    near = neighbour_prefixes(t, ranked, need)
+    left = near.join(_rated_of(ratings, t), ["uid", "rid"], "left_anti")
+    if not filter_first:
+        return left.select("uid", "mid", "rid", "r", "rank")
+    return top_n_per_group(left.drop("rank"), ["uid", "mid"], [F.desc("r"), F.asc("rid")], k).select("uid", "mid", "rid", "r", "rank")
+
+
 def candidates(
     triggers: DataFrame,
     edges: DataFrame,
@@ -117,7 +168,11 @@ def candidates(
     ``filter_first=True`` removes rated items and then cuts at ``k`` (reference v1);
     ``False`` cuts the similar items at ``k`` first and then removes rated ones, so fewer
     than ``k`` may remain (v2).  Ties on ``r``: smaller rid first.
+
+    Edges with ``rank`` and ``chunk`` (``ranked_edges``) are read by prefix.
     """
+    if {"rank", "chunk"} <= set(edges.columns):
+        return ranked_candidates(triggers, edges, ratings, k, filter_first)
     order = [F.desc("r"), F.asc("rid")]
     keys = ["uid", "mid"]
     if filter_first:

@@ -1,4 +1,4 @@
-"""Ranking primitives: top-n per group and a distributed global row number."""
+"""Ranking primitives: top-n per group, a distributed global row number and a distributed row number per key."""
 
 from __future__ import annotations
 
@@ -42,3 +42,25 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "rank",
         .withColumn(out, (F.col("_off") + F.row_number().over(local)).cast("int"))
         .drop("_pid", "_off")
     )
+
+
+def row_number_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by keys order by order)`` without a task for all rows of a key.
+
+    Rows are range-partitioned on keys and order, so the rows of a hot key lie in several consecutive ranges, and written
+    once with their range.  Rows are numbered inside (range, key); a range adds the counts of the same key in the ranges
+    before it, an aggregate of at most one row for each key and range that holds it.
+    """
+    by = [F.col(k) for k in keys]
+    parted = df.repartitionByRange(partitions, *by, *order) if partitions else df.repartitionByRange(*by, *order)
+    ranged = materialize(parted.withColumn("_pid", F.spark_partition_id()), "ranged-keys")
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    # only keys that go on from an earlier range need an offset: at most one for each range
+    offsets = counts.withColumn("_off", F.sum("_n").over(before)).where(F.col("_off") > 0).drop("_n")
+    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
+    return (
+        local.join(offsets, ["_pid", *keys], "left")
+        .withColumn(out, (F.coalesce("_off", F.lit(0)) + F.col("_rn")).cast("int"))
+        .drop("_pid", "_off", "_rn")
+    )
