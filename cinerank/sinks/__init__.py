@@ -1,5 +1,5 @@
 """Sinks: full-refresh table writes, the uid/mid access layout, the search-document
-export, and the keyed per-batch sink used by the stream."""
+export, the keyed per-batch sink used by the stream, and the table of committed versions."""
 
 from cinerank.sinks.tables import (
     compact_keyed,
@@ -10,7 +10,9 @@ from cinerank.sinks.tables import (
     write_layout,
     write_table,
 )
+from cinerank.sinks.versioned import ConcurrentWrite, VersionedTable
 
 __all__ = [
-    "compact_keyed", "export_documents", "read_keyed_latest", "write_bucketed", "write_keyed_batch", "write_layout", "write_table",
+    "ConcurrentWrite", "VersionedTable", "compact_keyed", "export_documents", "read_keyed_latest", "write_bucketed", "write_keyed_batch",
+    "write_layout", "write_table",
 ]
