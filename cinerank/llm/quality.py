@@ -110,19 +110,20 @@ def compile_rules(rules: Iterable[Rule]) -> Column:
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the measures of each text (``MEASURES``, long)."""
     kept = df.drop(*(m for m in MEASURES if m != text))
-    t, words, lines, grams = fresh(kept, "text_", "words_", "lines_", "grams_")
+    t, words, lines, windows, grams = fresh(kept, "text_", "words_", "lines_", "windows_", "grams_")
     one = kept.withColumn(t, F.coalesce(F.col(text), F.lit("")))
     one = one.withColumns({
         words: F.regexp_extract_all(F.col(t), F.lit(WORD), F.lit(0)),
         lines: F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD)),
     })
     n = F.size(words)
-    # windows of three words, ordered by a hash and then by the words themselves
-    windows = F.transform(
+    # windows of three words; only if a hash occurs twice are they ordered, by hash and then by the words themselves
+    one = one.withColumn(windows, F.transform(
         F.filter(F.arrays_zip(F.col(words).alias("x"), F.slice(words, 2, F.greatest(n, F.lit(1))).alias("y"), F.slice(words, 3, F.greatest(n, F.lit(1))).alias("z")), lambda w: w["z"].isNotNull()),
         lambda w, i: F.struct(F.xxhash64(w["x"], w["y"], w["z"]).alias("h"), w["x"].alias("x"), w["y"].alias("y"), w["z"].alias("z"), i.alias("i")),
-    )
-    one = one.withColumn(grams, F.array_sort(windows))
+    ))
+    repeats = F.size(F.array_distinct(F.col(windows)["h"])) < F.size(windows)
+    one = one.withColumn(grams, F.when(repeats, F.sort_array(windows)).otherwise(F.slice(windows, 1, 0)))
     found = _measures(F.col(t), F.col(words), F.col(lines), F.col(grams))
     return one.select(*kept.columns, *(found[m].alias(m) for m in MEASURES))
 
