@@ -12,24 +12,28 @@ Spark's own recommender (which cross-joins factor blocks) is available as ``meth
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cinerank.functions.recs import recs_array
 from cinerank.operators.ranking import top_n_per_group
+from cinerank.operators.scoring import grid_rmse
 from cinerank.operators.similarity import similar_lists, similar_pairs
 from cinerank.operators.topk import pruned_top_k
+from cinerank.session import materialize
 
 # reference settings
 RANK, MAX_ITER, REG = 50, 5, 0.01
 GRID_RANKS = (30, 40, 50, 60, 70)
 GRID_REGS = (1.0, 0.1, 0.001)
+BLOCKS = 10
 
 
 def train_als(
@@ -38,21 +42,18 @@ def train_als(
     max_iter: int = MAX_ITER,
     reg: float = REG,
     seed: int = 42,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
 ) -> ALSModel:
     """Explicit-feedback ALS on ``(uid, mid, score)``; unknown users/items are dropped at predict.
 
-    ``blocks`` (user and item blocks) defaults to the default parallelism, one block per
-    core, as the RDD-based trainer chooses automatically.
+    ``blocks`` is the number of user and of item blocks.  It does not follow the cores, for the
+    order of sums and so the last digits of the factors depend on it; a large job passes more.
     """
-    if blocks is None:
-        blocks = ratings.sparkSession.sparkContext.defaultParallelism
     als = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="uid", itemCol="mid", ratingCol="score",
         coldStartStrategy="drop", nonnegative=False, implicitPrefs=False, checkpointInterval=10,
+        numUserBlocks=blocks, numItemBlocks=blocks,
     )
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     return als.fit(ratings.select("uid", "mid", "score"))
 
 
@@ -205,16 +206,10 @@ def rmse(model: ALSModel, ratings: DataFrame, duplicates: str = "row") -> DataFr
     value, which joins real and predicted values on (uid, mid), so a pair rated k times
     contributes k x k products.  Here that value is computed without forming them: all k
     ratings of a pair share one prediction p, so the pair adds k * sum((s - p)^2) to the
-    numerator and k^2 to the denominator (one aggregate per pair, linear in the input).
+    numerator and k^2 to the denominator (linear in the input).  Errors are summed where the
+    ratings meet blocks of factors (``scoring``); only sums are shuffled.
     """
-    pred = predict(model, ratings.select("uid", "mid", "score"))
-    err2 = (F.col("score") - F.col("prediction")) ** 2
-    if duplicates == "row":
-        return pred.agg(F.sqrt(F.avg(err2)).alias("rmse"))
-    if duplicates == "join":
-        per_pair = pred.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("_k"), F.sum(err2).alias("_e"))
-        return per_pair.agg(F.sqrt(F.sum(F.col("_k") * F.col("_e")) / F.sum(F.col("_k") * F.col("_k"))).alias("rmse"))
-    raise ValueError("duplicates must be 'row' or 'join'")
+    return grid_rmse([model], ratings, duplicates).agg(F.max("rmse").alias("rmse"))
 
 
 def tune_als(
@@ -225,40 +220,35 @@ def tune_als(
     seed: int = 42,
     holdout: float | None = None,
     parallelism: int = 1,
+    train: Callable = train_als,
 ) -> DataFrame:
     """Fit one model per (rank, reg) and measure RMSE: ``rank, reg, rmse`` sorted best first.
 
     Like the reference, the error is measured on the training rows unless ``holdout`` gives
-    a fraction to hold out.  Each fit is a distributed job; ``parallelism`` runs several at
-    once.  The input is cached for the grid and released afterwards.
+    a fraction to hold out.  Each fit (``train(ratings, rank, max_iter, reg, seed)``) is a
+    distributed job; ``parallelism`` runs several at once.  The factors of each model are
+    written, and one pass over the ratings scores all models.
     """
     spark = ratings.sparkSession
-    data = ratings.select("uid", "mid", "score")
+    data = materialize(ratings.select("uid", "mid", "score"), "grid-ratings")
+    fit_on = test = data
     if holdout:
-        train, test = data.randomSplit([1.0 - holdout, holdout], seed)
-    else:
-        train = test = data
-    train = train.cache()
-    test = test.cache() if holdout else train
+        held = F.rand(seed) < holdout
+        split = materialize(data.withColumn("_held", held), "grid-split")
+        fit_on, test = (split.where(c).drop("_held") for c in (~F.col("_held"), F.col("_held")))
 
     def one(params):
         r, lam = params
-        m = train_als(train, r, max_iter, lam, seed)
-        value = rmse(m, test).first()["rmse"]
-        return (int(r), float(lam), float(value) if value is not None else float("nan"))
-
-    grid = [(r, lam) for r in ranks for lam in regs]
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(one, grid))
-    finally:
-        train.unpersist()
-        if holdout:
-            test.unpersist()
-    schema = T.StructType([
-        T.StructField("rank", T.IntegerType()), T.StructField("reg", T.DoubleType()), T.StructField("rmse", T.DoubleType()),
-    ])
-    return spark.createDataFrame(rows, schema).orderBy("rmse", "rank", "reg")
+        m = train(fit_on, r, max_iter, lam, seed)
+        return SimpleNamespace(**{n: materialize(getattr(m, n), f"grid-{n}") for n in ("userFactors", "itemFactors")})
+
+    grid = [(int(r), float(lam)) for r in ranks for lam in regs]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        models = list(pool.map(one, grid))
+    errors = grid_rmse(models, test)
+    params = spark.createDataFrame([(i, *p) for i, p in enumerate(grid)], "model int, rank int, reg double")
+    out = params.join(errors, "model", "left").select("rank", "reg", F.coalesce("rmse", F.lit(float("nan"))).alias("rmse"))
+    return out.orderBy("rmse", "rank", "reg")
 
 
 def best_params(grid: DataFrame) -> DataFrame:
