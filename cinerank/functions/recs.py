@@ -45,3 +45,14 @@ def recs_array(df: DataFrame, key: str, rid: str, r: str, rank: str, out: str =
         .agg(F.array_sort(F.collect_list(F.struct(F.col(rank).alias("_k"), F.col(rid).alias("rid"), F.col(r).alias("r")))).alias("_l"))
         .select(key, F.transform("_l", lambda x: F.struct(x["rid"].cast("int").alias("rid"), x["r"].cast("double").alias("r"))).alias(out))
     )
+
+
+def edges_of_lists(lists: DataFrame, key: str = "mid", recs: str = "recs") -> DataFrame:
+    """Nested lists (``mid, recs array<struct<rid, r>>``) as rows ``mid, rid, r``.
+
+    An item that a list names twice keeps its last value; of several lists of one key the later place in its list wins,
+    then the larger value.  Null lists, empty lists and null elements have no rows.
+    """
+    each = lists.select(key, F.posexplode(recs).alias("_p", "_x")).where("_x is not null")
+    last = each.groupBy(key, F.col("_x.rid").alias("rid")).agg(F.max(F.struct("_p", F.col("_x.r").alias("r"))).alias("_l"))
+    return last.select(key, "rid", F.col("_l.r").alias("r"))
