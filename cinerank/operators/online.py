@@ -211,8 +211,8 @@ def rerank(
     lists, not by the data.  The pairs are then looked up in the edge table by equi-join.
 
     With ``round_to`` the score is rounded half up to that many places, computed from the
-    exact integer sum of ``r`` (on the 10^-round_to grid) times ``score`` (at most 4
-    decimals), so the result does not depend on the summation order.
+    exact decimal sum of ``r`` (on the 10^-round_to grid) times ``score`` (on the 10^-9 grid),
+    so the result does not depend on the summation order.
     """
     c = cands.select("uid", F.col("rid").alias("cand")).distinct()
     rc = recents.select("uid", F.col("mid").alias("rmid"), "score")
@@ -223,16 +223,15 @@ def rerank(
     if round_to is None:
         aggs.append(F.avg(F.col("r") * F.col("score")).alias("_m"))
     else:
-        # exact weighted sum: r in 10^-round_to units times score in 10^-4 units (both integers)
         units = 10**round_to
-        aggs.append(F.sum(F.round(F.col("r") * units).cast("long") * F.round(F.col("score") * 10**4).cast("long")).alias("_p"))
+        aggs.append(F.sum(F.col("r").cast(f"decimal({round_to + 4},{round_to})") * F.col("score").cast("decimal(14,9)")).alias("_p"))
     scored = c.join(rc, "uid").join(e, ["cand", "rmid"]).groupBy("uid", "cand").agg(*aggs)
     bonus = log2_count(F.nullif("_up", F.lit(0))) - log2_count(F.nullif("_down", F.lit(0)))
     if round_to is None:
         s = F.col("_m") + bonus
     else:
-        # half up in units of 10^-round_to; the mean is one division of two exact integers
-        mean_units = F.col("_p").cast("double") / (F.col("_n") * 10**4).cast("double")
+        # half up in units of 10^-round_to; the mean is one division of two exact numbers
+        mean_units = (F.col("_p") * units).cast("double") / F.col("_n").cast("double")
         s = F.floor(mean_units + bonus * units + F.lit(0.5)).cast("double") / F.lit(float(units))
     return scored.select("uid", F.col("cand").alias("mid"), s.alias("score"))
 

@@ -172,3 +172,13 @@ def similar_lists(edges: DataFrame, max_len: int | None = None) -> DataFrame:
         return recs_array(edges.withColumn("_k", -F.col("r")), "mid", "rid", "r", "_k")
     ranked = top_n_per_group(edges, ["mid"], [F.desc("r"), F.asc("rid")], max_len)
     return recs_array(ranked, "mid", "rid", "r", "rank")
+
+
+def similar_list_chunks(ranked: DataFrame) -> DataFrame:
+    """Lists of a ranked edge table (``online.ranked_edges``) in rows of one chunk each: ``mid, chunk, recs``.
+
+    A hot item has many rows of bounded length; in the order of ``chunk`` they are ``similar_lists``.
+    """
+    each = F.struct(F.col("rank"), F.col("rid").cast("int").alias("rid"), F.col("r").cast("double").alias("r"))
+    out = ranked.groupBy("mid", "chunk").agg(F.array_sort(F.collect_list(each)).alias("_l"))
+    return out.select("mid", "chunk", F.transform("_l", lambda x: F.struct(x["rid"].alias("rid"), x["r"].alias("r"))).alias("recs"))

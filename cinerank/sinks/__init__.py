@@ -6,6 +6,7 @@ from cinerank.sinks.tables import (
     export_documents,
     read_keyed_latest,
     write_bucketed,
+    write_clustered,
     write_keyed_batch,
     write_layout,
     write_table,
@@ -13,6 +14,6 @@ from cinerank.sinks.tables import (
 from cinerank.sinks.versioned import ConcurrentWrite, VersionedTable
 
 __all__ = [
-    "ConcurrentWrite", "VersionedTable", "compact_keyed", "export_documents", "read_keyed_latest", "write_bucketed", "write_keyed_batch",
+    "ConcurrentWrite", "VersionedTable", "compact_keyed", "export_documents", "read_keyed_latest", "write_bucketed", "write_clustered", "write_keyed_batch",
     "write_layout", "write_table",
 ]

@@ -61,6 +61,46 @@ def write_layout(
     w.save(path)
 
 
+#: Bits of each key in the order of a clustered table.
+CLUSTER_BITS = 16
+
+
+def interleaved(*keys: Column) -> Column:
+    """The bits of whole numbers of ``CLUSTER_BITS`` bits dealt in turn into one, so near keys in all of them are near."""
+    out = F.lit(0).cast("long")
+    for bit in range(CLUSTER_BITS):
+        for place, k in enumerate(keys):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(k.cast("long"), bit).bitwiseAND(F.lit(1).cast("long")), bit * len(keys) + place))
+    return out
+
+
+def write_clustered(df: DataFrame, path: str, keys: list[str], files: int) -> None:
+    """Write ``files`` files so that a lookup by any of ``keys`` (numbers) can skip most: about ``files ** (1 - 1 / len(keys))``
+    of them cover a value.
+
+    Rows are ordered by the interleaved bits of the keys' places among their quantiles, so hot ranges of a key do not crowd
+    the order; Parquet keeps the least and largest value of each key.  Null keys lie first.
+    """
+    steps = 1 << CLUSTER_BITS
+    shares = [i / 64 for i in range(65)]
+    bounds = df.select(*(F.percentile_approx(k, F.lit(shares), 10_000).alias(k) for k in keys)).first()
+    places = []
+    for k in keys:
+        edges = sorted(set(bounds[k] or [0]))
+        least, scale = edges[0], len(edges)
+        # the quantile a key lies in, and how far between its bounds: at most 65 constants a key
+        slot = F.lit(0.0)
+        if scale > 1:
+            cuts = F.array(*(F.lit(float(e)) for e in edges))
+            at = F.greatest(F.lit(1), F.least(F.lit(scale - 1), F.size(F.filter(cuts, lambda e: e <= F.col(k).cast("double")))))
+            low, high = F.get(cuts, at - 1), F.get(cuts, at)
+            inside = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col(k) - low) / (high - low)))
+            slot = (at - 1 + inside) / (scale - 1) * (steps - 1)
+        places.append(F.coalesce(F.floor(slot), F.lit(0)))
+    placed = df.withColumn("_z", interleaved(*places))
+    placed.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z").write.mode("overwrite").parquet(path)
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
     """Save as a catalog table bucketed and sorted on ``key``: joins on ``key`` between tables
     with the same bucket count need no shuffle."""
