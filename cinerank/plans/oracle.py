@@ -246,6 +246,23 @@ SQL["ranked_edges"] = with_views(V_VECTORS, v_edges(0.2)) + """SELECT mid, rid,
   CAST(row_number() OVER (PARTITION BY mid ORDER BY r DESC, rid) AS INTEGER) AS rank FROM edges"""
 SQL["candidates_ranked"] = SQL["candidates"]
 SQL["candidates_ranked_cut_first"] = SQL["candidates_cut_first"]
+V_RAISED = """raised AS (
+  SELECT mid % 100 AS mid, least(5.0, score + (mid % 100 % 3) * 0.5) AS score FROM ratings)"""
+SQL["high_quality_raised"] = SQL["high_quality_sql"] = with_views(V_RATINGS, V_RAISED) + high_quality("raised", 3.5, 50)
+SQL["items_with_tags_chunked"] = with_views(V_TAGS) + """SELECT mid, part, CAST(count(*) AS INTEGER) AS n_tags, string_agg(tag, '|' ORDER BY tag) AS tags FROM (
+  SELECT mid, tag, CAST((row_number() OVER (PARTITION BY mid ORDER BY tag) - 1) // 2 AS INTEGER) AS part
+  FROM (SELECT DISTINCT mid, tag FROM tags WHERE tag IS NOT NULL)) GROUP BY mid, part"""
+SQL["layout_clustered"] = SQL["table_replaced"] = SQL["layout_roundtrip"]
+SQL["nested_lists"] = with_views(V_VECTORS, v_edges(0.3)) + """SELECT mid, rid,
+  CASE WHEN row_number() OVER (PARTITION BY mid ORDER BY r DESC, rid) = 1 THEN r / 2 ELSE r END AS r FROM edges"""
+SQL["similar_lists_chunked"] = with_views(V_VECTORS, v_edges(0.2), """chunked AS (
+  SELECT mid, rid, r, CAST((row_number() OVER (PARTITION BY mid ORDER BY r DESC, rid) - 1) // 64 AS INTEGER) AS chunk FROM edges)""") \
+    + pack("chunked", "mid, chunk", "rid", "r", "r DESC, rid")
+SQL["rerank_plain"] = with_views(*ONLINE) + """SELECT uid, mid, floor(score * 10000 + 0.500031415) / 10000.0 AS score FROM (
+  SELECT c.uid, c.cand AS mid, avg(e.r * rc.score) + log2(greatest(count_if(rc.score > 3), 1)) - log2(greatest(count_if(NOT rc.score > 3), 1)) AS score
+  FROM (SELECT DISTINCT uid, rid AS cand FROM candidates) c JOIN recents rc ON c.uid = rc.uid JOIN edges e ON e.mid = c.cand AND e.rid = rc.mid
+  WHERE e.r > 0.2 GROUP BY c.uid, c.cand)"""
+SQL["factor_grid"] = SQL["factor_best_params"].replace(" ORDER BY rmse, rank, reg LIMIT 1", "")
 # lists of users without a scored candidate are empty
 for _stream, _batch in (("stream_merged", "merged_recs"), ("stream_merged_literal", "merged_recs_literal")):
     SQL[_stream] = "SELECT t.uid, coalesce(m.recs, '') AS recs FROM (" + with_views(V_EVENT_RATINGS, V_TRIGGERS) + "SELECT uid FROM triggers) t LEFT JOIN (" + SQL[_batch] + ") m ON t.uid = m.uid"

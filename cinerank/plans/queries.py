@@ -8,12 +8,13 @@ from types import SimpleNamespace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.functions.recs import pack_recs
-from cinerank import sinks
+from cinerank import schemas, sinks
+from cinerank.functions.recs import edges_of_lists, pack_recs
 from cinerank.operators import banded, catalogue, model, online, similarity, stats
 from cinerank.session import materialize, scratch_path
 from cinerank.sources import fixtures as fx
 from cinerank.sources import text as text_src
+from cinerank.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +57,24 @@ def q_high_quality_default(spark, d):
     return stats.high_quality(fx.ratings(spark, d))
 
 
+def raised_ratings(spark, d):
+    """The ratings with up to a point more by item, so that the default thresholds select some items and not others."""
+    r = fx.ratings(spark, d).withColumn("mid", F.col("mid") % 100)
+    return r.withColumn("score", F.least(F.lit(5.0), F.col("score") + (F.col("mid") % 3) * 0.5))
+
+
+def q_high_quality_raised(spark, d):
+    """The default thresholds 3.5 and 50 on ratings of which they select some."""
+    return stats.high_quality(raised_ratings(spark, d))
+
+
+def q_high_quality_sql(spark, d):
+    from cinerank.plans import sql
+
+    sql.register(spark, ratings=raised_ratings(spark, d))
+    return sql.run(spark, "high_quality")
+
+
 def q_high_quality_events(spark, d):
     return stats.high_quality(fx.event_ratings(spark, d), 2.5, 50)
 
@@ -68,6 +87,11 @@ def q_items_with_tags(spark, d):
     return catalogue.movies_with_tags(fx.movies(spark, d), fx.tags(spark, d))
 
 
+def q_items_with_tags_chunked(spark, d):
+    """The tags of each item in rows of two."""
+    return catalogue.tag_chunks(fx.tags(spark, d), 2)
+
+
 def sql_statement(name):
     """A statistic written as SQL text over the views ``ratings`` and ``movies``."""
     from cinerank.plans import sql
@@ -110,6 +134,36 @@ def q_layout_roundtrip(spark, d):
     return spark.read.parquet(path)
 
 
+def q_layout_clustered(spark, d):
+    """Ratings clustered by uid and mid at once, read back."""
+    path = scratch_path(spark, "ratings-clustered")
+    sinks.write_clustered(fx.ratings(spark, d), path, ["uid", "mid"], 16)
+    return read_table(spark, path, schema=schemas.RATING)
+
+
+def q_table_replaced(spark, d):
+    """A table written twice: the second write replaces the first.  Types and case of the columns are resolved on reading."""
+    path = scratch_path(spark, "replaced")
+    sinks.write_table(fx.tags(spark, d), path, "orc")
+    r = fx.ratings(spark, d)
+    sinks.write_table(r.select(F.col("timestamp").cast("string").alias("TimeStamp"), F.col("uid").cast("long").alias("UID"), "mid", "score", F.lit(0).alias("extra")), path, "orc")
+    return read_table(spark, path, "orc", schema=schemas.RATING)
+
+
+def q_nested_lists(spark, d):
+    """Stored similarity lists in which each list names its best item once more, at half the value: rows, last value kept."""
+    lists = similarity.similar_lists(edges(spark, d, PAIR_T))
+    again = F.concat("recs", F.transform(F.slice("recs", 1, 1), lambda x: F.struct(x["rid"].alias("rid"), (x["r"] / 2).alias("r"))))
+    path = scratch_path(spark, "movie-recs")
+    stored = lists.select("mid", F.transform(again, lambda x: F.struct(x["r"].alias("R"), x["rid"].cast("long").alias("Rid"), F.lit("-").alias("note"))).alias("RECS"))
+    sinks.write_table(stored, path)
+    return edges_of_lists(read_table(spark, path, schema=schemas.MOVIE_RECS))
+
+
+def q_similar_lists_chunked(spark, d):
+    return similarity.similar_list_chunks(stored_ranks(spark, d)).select("mid", "chunk", pack_recs("recs").alias("recs"))
+
+
 def q_search_documents(spark, d):
     """Catalogue with tags exported as one JSON document per item, read back."""
     path = scratch_path(spark, "search-docs")
@@ -230,6 +284,13 @@ def q_rerank_ge(spark, d):
     return rerank(spark, d, "ge")
 
 
+def q_rerank_plain(spark, d):
+    """The default path, scores in double precision; rounded here, off the grid on which scores can lie."""
+    er, e, t, cands = online_inputs(spark, d)
+    out = online.rerank(cands, online.recent_ratings(er, 21, users=t), e, EDGE_T)
+    return out.withColumn("score", F.floor(F.col("score") * 10_000 + F.lit(0.500031415)) / F.lit(10_000.0))
+
+
 def q_packed_recs(spark, d):
     return online.packed_lists(rerank(spark, d))
 
@@ -419,6 +480,12 @@ def q_factor_item_similarity(spark, d):
     return model.item_similarity(factors(spark, d), PAIR_T, round_to=ROUND)
 
 
+def q_factor_grid(spark, d):
+    """The tuning job with a trainer that returns the fixed model of a length and scale: all models in one pass."""
+    train = lambda ratings, rank, max_iter, reg, seed: factors(spark, d, rank, reg)
+    return model.tune_als(fx.ratings(spark, d), FACTOR_RANKS, FACTOR_SCALES, train=train)
+
+
 def q_factor_best_params(spark, d):
     """The best of a grid of fixed models, their length as ``rank`` and their scale as ``reg``."""
     r = stored_ratings(spark, d)
@@ -439,8 +506,11 @@ QUERIES: dict[str, Query] = {
     "high_quality_items": q_high_quality_items,
     "high_quality_default": q_high_quality_default,
     "high_quality_events": q_high_quality_events,
+    "high_quality_raised": q_high_quality_raised,
+    "high_quality_sql": q_high_quality_sql,
     "recent_top10": q_recent_top10,
     "items_with_tags": q_items_with_tags,
+    "items_with_tags_chunked": q_items_with_tags_chunked,
     "user_item_pairs": q_user_item_pairs,
     "rating_counts_sql": sql_statement("rating_counts"),
     "monthly_rating_counts_sql": sql_statement("monthly_rating_counts"),
@@ -451,6 +521,10 @@ QUERIES: dict[str, Query] = {
     "text_load_ratings": q_text_load_ratings,
     "text_load_tags": q_text_load_tags,
     "layout_roundtrip": q_layout_roundtrip,
+    "layout_clustered": q_layout_clustered,
+    "table_replaced": q_table_replaced,
+    "nested_lists": q_nested_lists,
+    "similar_lists_chunked": q_similar_lists_chunked,
     "search_documents": q_search_documents,
     "similar_pairs": q_similar_pairs,
     "similar_lists": q_similar_lists,
@@ -465,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "candidates_ranked": q_candidates_ranked,
     "candidates_ranked_cut_first": q_candidates_ranked_cut_first,
     "rerank": q_rerank,
+    "rerank_plain": q_rerank_plain,
     "rerank_ge": q_rerank_ge,
     "rerank_bucketed": q_rerank_bucketed,
     "packed_recs": q_packed_recs,
@@ -488,4 +563,5 @@ QUERIES: dict[str, Query] = {
     "factor_rmse": q_factor_rmse,
     "factor_item_similarity": q_factor_item_similarity,
     "factor_best_params": q_factor_best_params,
+    "factor_grid": q_factor_grid,
 }
