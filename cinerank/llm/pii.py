@@ -1,18 +1,22 @@
 """Personal data replaced by keyed surrogates of the same type, gender, script and format.
 
 Detected: e-mail addresses, phone numbers, payment card numbers, IPv4 addresses, US social security numbers,
-IBANs, access keys, secrets after ``password=``, ``token = "`` and the like, and persons (a given name of a list,
-then a surname in the same script).
+IBANs, access keys, secrets after ``password=``, ``token = "`` and the like (up to white space or the closing quote),
+and persons: a given name of a list with the surname after it in the same script, a capitalised name after a title
+(``Mr.``, ``Frau`` and the like), and every other place of the text where a surname so found stands alone.
 
 A surrogate is the entity under a keyed permutation of its own format class: digits stay digits, small letters
 small letters, capitals capitals, separators stay where they are; card numbers keep the validity of their check
 digit, octets stay octets, a given name goes to another of its gender and script, and a surname keeps script,
-capitals and a gendered ending.  The permutation is a balanced Feistel network keyed by HMAC-SHA256, so within a
-type two entities never share a surrogate, and an entity has one surrogate wherever it stands (e-mail addresses and
-hexadecimal secrets whatever their case, phone numbers whatever their punctuation): coreference holds with no table
-of names, and no shuffle.  ``collisions`` checks both properties over a whole corpus.
-
-Null texts stay null, empty texts empty; rows are kept one for one, repeated ones too.
+capitals and a gendered ending.  The permutation is a balanced Feistel network keyed by HMAC-SHA256; surnames without
+a listed ending are permuted again until the result has none either, so surnames with and without one never meet.
+Thus within a type two entities never share a surrogate, and an entity has one surrogate wherever it stands (e-mail
+addresses and hexadecimal secrets whatever their case, phone numbers whatever their punctuation, a surname with or
+without the given name): coreference holds with no table of names, and no shuffle.  ``collisions`` checks both
+properties over a whole corpus.
+
+Null texts stay null, empty texts empty; rows are kept one for one, repeated ones too.  The column of entities replaces
+one of the same name.
 """
 
 from __future__ import annotations
@@ -25,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import widened
+from cinerank.llm.common import settle, widened
+from cinerank.session import remove_path
 
 # Given names by script and gender.
 GIVEN = {
@@ -47,22 +52,32 @@ _PLAIN = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXY
 _HEX = ("0123456789abcdef",)
 ROUNDS = 8
 
+# Titles that a name follows.
+TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Mlle", "Señor", "Señora", "Sr", "Sra", "Г-н", "Г-жа", "Κος", "Κα")
+
 _NAMES = "|".join(sorted((n for v in GIVEN.values() for n in v), key=lambda n: (-len(n), n)))
+_SURNAME = r"[^\W\d_]{2,}(?:-[^\W\d_]+)?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: The first alternative that matches at a place names the type.
 PATTERN = re.compile(
-    r"(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+)"
+    r"(?P<email>[^\W_](?:[\w.%+-]*[\w%+-])?@[^\W_](?:[^\W_]|-(?=[^\W_]|-))*(?:\.[^\W_](?:[^\W_]|-(?=[^\W_]|-))*)+)"
     rf"|(?P<ipv4>(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<!\d)\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}(?!\d))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<!\w)\+\d{8,15}(?!\d))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<access_key>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
-    r"|(?i:password|passwd|pwd|api[_-]?key|secret|token)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<secret>[A-Za-z0-9_+/.~-]{6,})"
-    rf"|(?P<person>\b(?:{_NAMES})\b[ \u00a0](?:[A-Z]\. )?[^\W\d_]{{2,}}(?:-[^\W\d_]+)?)"
+    r"|(?i:password|passwd|pwd|api[_-]?key|secret|token)[\"']?\s{0,3}[:=]\s{0,3}(?:\"(?P<quoted>[^\"\s]{6,})|'(?P<single>[^'\s]{6,})|(?P<secret>[^\s\"'][^\s\"']{4,}[^\s\"'.,;:?)\]}>]))"
+    rf"|(?P<person>\b(?:{_NAMES})\b[ \u00a0](?:[A-Z]\. )?{_SURNAME})"
+    rf"|\b(?:{'|'.join(TITLES)})\b\.?[ \u00a0](?P<surname>{_SURNAME})"
 )
 #: One of these is in every text with an entity.
-_HINT = re.compile(rf"[0-9@]|(?i:password|passwd|pwd|api[_-]?key|secret|token)|\b(?:{_NAMES})\b")
+_HINT = re.compile(rf"[0-9@]|AKIA|ASIA|(?i:password|passwd|pwd|api[_-]?key|secret|token)|\b(?:{_NAMES}|{'|'.join(TITLES)})\b")
+
+
+def _ending(name: str) -> str:
+    """The listed ending of a surname, if a stem of three letters or more stands before it."""
+    return next((e for e in ENDINGS if name.endswith(e) and len(name) - len(e) > 2), "")
 
 
 class Surrogates:
@@ -132,15 +147,26 @@ class Surrogates:
         out, it = list(text), iter(new)
         return "".join(c if c == " " else next(it) for c in out)
 
+    def _given(self, name: str) -> str:
+        """The next name of its list in an order that the key gives: another one, and a bijection."""
+        (script, gender), names = next((k, v) for k, v in GIVEN.items() if name in v)
+        order = sorted(names, key=lambda n: hmac.new(self.key, f"given|{script}|{gender}|{n}".encode(), hashlib.sha256).digest())
+        return order[(order.index(name) + 1) % len(order)]
+
+    def _surname(self, name: str) -> str:
+        end = _ending(name)
+        if end:
+            return self._letters(f"surname|{end}", name[:-len(end)], ALPHABETS) + end
+        out = self._letters("surname|", name, ALPHABETS)
+        while _ending(out):  # walks on along the permutation, back to a name without an ending
+            out = self._letters("surname|", out, ALPHABETS)
+        return out
+
     def _person(self, text: str) -> str:
         given = re.match(rf"(?:{_NAMES})\b", text)[0]
-        (script, gender), names = next((k, v) for k, v in GIVEN.items() if given in v)
-        [i] = self.permute(f"given|{script}|{gender}", [names.index(given)], [len(names)])
-        if names[i] == given and len(names) > 1:  # a shift by nothing would leave the name
-            i = (i + 1) % len(names)
-        rest = text[len(given):]
-        end = next((e for e in ENDINGS if rest.endswith(e) and len(rest) - len(e) > 2), "")
-        return names[i] + self._letters(f"surname|{end}", rest[:len(rest) - len(end)], ALPHABETS) + end
+        surname = text.split()[-1]
+        between = text[len(given):len(text) - len(surname)]
+        return self._given(given) + self._letters(f"initial|{surname}", between, ALPHABETS) + self.make("surname", surname)
 
     def make(self, kind: str, text: str) -> str:
         got = self.memo.get((kind, text))
@@ -171,6 +197,8 @@ class Surrogates:
             return text[:4] + self._letters("access_key", text[4:], ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",))
         if kind == "secret":
             return self._letters("hex", text, _HEX, fold=True) if re.fullmatch(r"(?i)[0-9a-f]+", text) else self._letters("secret", text)
+        if kind == "surname":
+            return self._surname(text)
         return self._person(text)
 
 
@@ -185,17 +213,38 @@ def canonical(kind: str, text: str) -> str:
     return text
 
 
+def _is_name(word: str) -> bool:
+    return word[0].isupper() and not word.isupper()
+
+
 def find(text: str):
     """(kind, start, end) of the entities of a text, from left to right."""
     if not _HINT.search(text):
-        return
+        return []
+    out, surnames = [], set()
     for m in PATTERN.finditer(text):
         kind = m.lastgroup
         if kind == "person":
             given, surname = re.match(rf"(?:{_NAMES})\b", m[0])[0], m[0].split()[-1]
             if not surname[0].isupper() or (ord(given[-1]) < 0x250) != (ord(surname[0]) < 0x250):
                 continue
-        yield kind, *m.span(kind)
+            surnames.add(surname)
+        elif kind == "surname":
+            if not _is_name(m[kind]):
+                continue
+            surnames.add(m[kind])
+        out.append(("secret" if kind in ("quoted", "single") else kind, *m.span(kind)))
+    if surnames:
+        alone = re.compile(rf"(?<![\w-])(?:{'|'.join(sorted(map(re.escape, surnames), key=lambda x: (-len(x), x)))})(?![\w-])")
+        more, k = [], 0
+        for m in alone.finditer(text):
+            i, j = m.span()
+            while k < len(out) and out[k][2] <= i:
+                k += 1
+            if k == len(out) or j <= out[k][1]:
+                more.append(("surname", i, j))
+        out = sorted(out + more, key=lambda x: x[1])
+    return out
 
 
 _SCHEMA = "array<struct<kind:string,start:int,length:int,surrogate:string>>"
@@ -252,3 +301,27 @@ def collisions(df: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     shared = pairs.groupBy("kind", F.col("surrogate").alias("value")).agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit("surrogate"))
     split = pairs.groupBy("kind", F.col("entity").alias("value")).agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit("entity"))
     return shared.unionByName(split).where("n > 1")
+
+
+def checked(df: DataFrame, key: bytes, text: str = "text", entities: str = "entities") -> DataFrame:
+    """``replace`` with ``n_ambiguous``: how many of a row's surrogates ``collisions`` names.
+
+    The surrogates are distinct by construction, so the check finds nothing; if it does, the rows are marked and none is lost.
+    """
+    out = replace(df.drop("n_ambiguous"), key, text, entities)
+    clashes, path = settle(collisions(df, key, text), "pii-clashes")
+    if clashes.isEmpty():
+        remove_path(df.sparkSession, path)
+        return out.withColumn("n_ambiguous", F.lit(0).cast("long"))
+    shared = clashes.where("what = 'surrogate'").select("kind", F.col("value").alias("surrogate")).distinct()
+    numbered = settle(out.withColumn("row_", F.monotonically_increasing_id()), "pii-rows")[0]
+    named = numbered.select("row_", F.explode(entities).alias("e")).select("row_", "e.kind", _canonical("e.kind", "e.surrogate").alias("surrogate"))
+    bad = named.join(shared, ["kind", "surrogate"], "left_semi").groupBy("row_").agg(F.count(F.lit(1)).alias("n_ambiguous"))
+    return numbered.join(bad, "row_", "left").withColumn("n_ambiguous", F.coalesce("n_ambiguous", F.lit(0))).drop("row_")
+
+
+def _canonical(kind: str, value: str):
+    """``canonical`` as a column."""
+    k, v = F.col(kind), F.col(value)
+    return F.when(k.isin("card", "iban", "ssn"), F.regexp_replace(v, "[ -]", "")).when(k == "phone", F.right(F.regexp_replace(v, "[^0-9]", ""), F.lit(10))).when(
+        (k == "email") | (k == "secret") & v.rlike("^[0-9a-fA-F]+$"), F.lower(v)).otherwise(v)
