@@ -4,7 +4,9 @@ Both dictionaries open with the same background, cut from ordinary documents.  T
 it, the toxic one with the stretches of toxic documents that set them apart (runs of character n-grams whose document
 frequency among toxic documents lies far above that among ordinary ones).  A window that the toxic dictionary
 compresses to fewer bytes than the ordinary one speaks for toxicity; a logistic calibration on labelled documents
-that took no part in the dictionaries maps a document's gains to a probability.
+that took no part in the dictionaries maps a document's gains to a probability.  ``GATES`` are tried from strong evidence
+in little space to weak evidence in more, for a broad toxic vocabulary has rare words only; a weaker one is taken if its
+loss on the calibration documents is clearly less.  Where nothing stands out, both dictionaries are texts of their side.
 
 Fitting uses at most ``per_class`` labelled documents of each label (those of smallest hash), on the driver; scoring
 is one pass over whole texts without a shuffle.  Null and empty texts have no windows and get the score of no gain.
@@ -26,6 +28,8 @@ from cinerank.llm.common import byte_column, fold, lower, pieces, widened, word_
 
 #: Words in a window, bytes in an n-gram, bytes of background and of distinctive text in a dictionary, level of zstandard.
 WINDOW, GRAM, BACKGROUND, DISTINCT, LEVEL = 8, 5, 7680, 512, 7
+#: Standard errors of evidence, least documents, and bytes of a dictionary that such n-grams may fill.
+GATES = ((3, 4, DISTINCT), (2, 4, 8192), (1.5, 3, 8192), (1, 3, 8192), (0.5, 2, 8192))
 #: Labelled documents of each label that fitting may use, half for the dictionaries and half for the calibration.
 PER_CLASS = 3000
 
@@ -95,21 +99,22 @@ def _grams(text: bytes) -> set[bytes]:
     return {text[i:i + GRAM] for i in range(len(text) - GRAM + 1)}
 
 
-def _contrast(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
-    """n-grams whose log odds ratio of document frequencies exceeds 1 by three standard errors."""
+def _contrasts(toxic: list[bytes], ordinary: list[bytes], gates) -> list[set[bytes]]:
+    """For each gate (standard errors, least, space) the n-grams in ``least`` toxic documents or more whose log odds ratio
+    of document frequencies exceeds 1 by so many standard errors."""
     a, b = Counter(), Counter()
     for t in toxic:
         a.update(_grams(t))
     for t in ordinary:
         b.update(_grams(t))
-    grams = [g for g, n in a.items() if n >= 4]
-    x = np.array([a[g] for g in grams], float) + 0.5
-    y = np.array([b[g] for g in grams], float) + 0.5
-    odds = np.log(x / (len(toxic) + 1 - x)) - np.log(y / (len(ordinary) + 1 - y)) - 3 * np.sqrt(1 / x + 1 / y)
-    return {g for g, o in zip(grams, odds, strict=True) if o > 1}
+    grams = [g for g, n in a.items() if n >= min(least for _, least, _ in gates)]
+    n = np.array([a[g] for g in grams], float)
+    x, y = n + 0.5, np.array([b[g] for g in grams], float) + 0.5
+    odds, error = np.log(x / (len(toxic) + 1 - x)) - np.log(y / (len(ordinary) + 1 - y)), np.sqrt(1 / x + 1 / y)
+    return [{grams[i] for i in np.flatnonzero((odds - errors * error > 1) & (n >= least))} for errors, least, _ in gates]
 
 
-def _distinct(toxic: list[bytes], grams: set[bytes]) -> bytes:
+def _distinct(toxic: list[bytes], grams: set[bytes], space: int = DISTINCT, least: int = 3) -> bytes:
     """The commonest runs of distinctive n-grams, the commonest last, where matches cost least."""
     runs: Counter = Counter()
     for t in toxic:
@@ -127,7 +132,7 @@ def _distinct(toxic: list[bytes], grams: set[bytes]) -> bytes:
         runs.update(own)
     picked, size = [], 0
     for run, n in sorted(runs.items(), key=lambda x: (-x[1], x[0])):
-        if n < 3 or size + len(run) > DISTINCT:
+        if n < least or size + len(run) > space:
             break
         if not any(run in p for p in picked):
             picked.append(run)
@@ -148,26 +153,41 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
 
 
 def fit_texts(texts: list[str | None], labels: list[int]) -> Model:
-    """A model from labelled texts: even places make the dictionaries, odd ones the calibration (all of them if few)."""
+    """A model from labelled texts: of each label every other one makes the dictionaries, the rest the calibration (all of them if few)."""
     plain = [_plain(t) for t in texts]
     few = min(sum(labels), len(labels) - sum(labels)) < 60
-    for_dictionary = [few or i % 2 == 0 for i in range(len(texts))]
+    place = Counter()
+    for_dictionary = []
+    for y in labels:
+        for_dictionary.append(few or place[y] % 2 == 0)
+        place[y] += 1
     toxic = [t for t, y, d in zip(plain, labels, for_dictionary, strict=True) if y and d]
     ordinary = [t for t, y, d in zip(plain, labels, for_dictionary, strict=True) if not y and d]
     if not toxic or not ordinary:
         return Model(b"", b"")
-    distinct = _distinct(toxic, _contrast(toxic, ordinary))
     share = max(64, 2 * BACKGROUND // len(ordinary))
     background = b"".join(t[:share] for t in ordinary)[:BACKGROUND]
-    model = Model(background + background[:len(distinct)], background + distinct)
-    if not distinct:
-        return Model(b"", b"")
+    models = []
+    for grams, (_, least, space) in zip(_contrasts(toxic, ordinary, GATES), GATES, strict=True):
+        distinct = _distinct(toxic, grams, space, min(3, least))
+        if distinct:
+            fill = background * (len(distinct) // max(1, len(background)) + 1)
+            models.append(Model(background + fill[:len(distinct)], background + distinct))
+    if not models:  # nothing stands out: whole texts of each side
+        models.append(Model(*((b"".join(side) or b" ")[:BACKGROUND] for side in (ordinary, toxic))))
     rest = [i for i, d in enumerate(for_dictionary) if few or not d]
     col = pa.array([texts[i] or "" for i in rest], pa.string())
     buf, off = byte_column(col)
-    x = np.vstack([model.scorer().features(buf[off[i]:off[j]], off[i:j + 1] - off[i]) for i, j in pieces(off)])
-    model.weights = _logistic(x, np.array([labels[i] for i in rest], float))
-    return model
+    y = np.array([labels[i] for i in rest], float)
+    best = None
+    for model in models:
+        x = np.vstack([model.scorer().features(buf[off[i]:off[j]], off[i:j + 1] - off[i]) for i, j in pieces(off)])
+        model.weights = _logistic(x, y)
+        z = np.clip(model.weights[0] + x @ np.array(model.weights[1:]), -30, 30)
+        loss = float(np.log1p(np.exp(-np.where(y == 1, z, -z))).mean())
+        if best is None or loss < 0.9 * best[0]:  # weaker evidence must be clearly better
+            best = (loss, model)
+    return best[1]
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
