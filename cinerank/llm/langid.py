@@ -255,6 +255,17 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", spans: str |
     return kept.mapInArrow(run, schema)
 
 
+def tellable(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose language the model tells, as they are.
+
+    Without a model (no labelled row to learn from) nothing can be told, and every text with a letter stays.
+    """
+    if model is None:
+        return df.where(F.col(text).rlike(r"\p{L}"))
+    told = predict(df.select(F.struct(*df.columns).alias("row"), F.col(text).alias("text")), model)
+    return told.where("lang_pred <> 'und'").select("row.*")
+
+
 def held_out_languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row, learnt from rows outside of the held-out fold."""
     model = fit(docs.where(fold(4) != 2))
