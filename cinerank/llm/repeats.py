@@ -4,8 +4,9 @@ Every byte covered by a string of ``LENGTH`` bytes that also starts earlier (in
 text) goes; strings never cross texts, overlaps count, and all is judged on the input.  Rows of one id stand in the
 order of the table, null ids last.
 
-The method follows the difference-cover construction of suffix arrays for prefixes of fixed length: a sample of
-positions is named, names are compared first, and the positions between follow from the sample.  The cover is chosen
+The method keeps the idea of the difference-cover construction of suffix arrays, for prefixes of fixed length: a sample of
+positions is named, names are compared first, and the positions between follow from the sample.  It has no recursion on
+names and no merge of suffixes, and equal fingerprints count as equal strings.  The cover is chosen
 by content: in every window of ``LENGTH`` bytes the position whose ``GRAM`` bytes have the smallest hash, so two equal
 windows always sample the same place, at a density of 1 in 19 instead of 2 in 3.  Names are Karp-Rabin fingerprints
 (two primes, 62 bits).  Sampled grams that occur once end the comparison at once; around those that repeat, the
@@ -120,9 +121,6 @@ def ask_names(blocks: DataFrame) -> DataFrame:
     return blocks.mapInArrow(run, "block long, name long, n long")
 
 
-_STRETCH = pa.list_(pa.struct([("name", pa.int64()), ("whole", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
-
-
 def _halves(prints: Prints, first: np.ndarray, last: np.ndarray, place: np.ndarray):
     """Name, whole, first and last of the stretches cut in two: each half is named by the longer string that all its windows share."""
     near = (LENGTH - GRAM) // 2
@@ -139,6 +137,17 @@ def _halves(prints: Prints, first: np.ndarray, last: np.ndarray, place: np.ndarr
     return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
+_NO_STRETCH = [np.zeros(0, np.int64)] * 4
+
+
+def _repeated_stretches(buf: np.ndarray, hot: np.ndarray) -> list[np.ndarray]:
+    """The halves of the stretches of a text whose sampled gram is among the names in ``hot`` (in order)."""
+    prints = Prints(buf)
+    first, last, place, name = sampled(prints, len(buf))
+    keep = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
+    return _halves(prints, first[keep], last[keep], place[keep]) if keep.any() else _NO_STRETCH
+
+
 def stretches(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
     """loc (place in the table), id, n_bytes, digest (of the whole text), text (compressed, only where stretches repeat) and these stretches."""
     asked = blocks.join(repeated, "block", "left").select("block", "payload", "names")
@@ -147,24 +156,24 @@ def stretches(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
         pack_ = zstandard.ZstdCompressor(level=3).compress
         for block, table, facts in payloads(batches):
             hot = np.sort(facts.column("names")[0].values.to_numpy()) if facts.column("names")[0].is_valid else np.zeros(0, np.int64)
-            ids, texts = table.column("id"), table.column("text").cast(pa.large_binary())
+            ids, (buf, off) = table.column("id").combine_chunks(), byte_column(table.column("text"))
             base = ((block >> 32) << 39) | ((block & 0xFFFFFFFF) << 20)
-            out, found = [], {}
-            if len(hot):
-                for r, buf in _rows(table):
-                    prints = Prints(buf)
-                    first, last, place, name = sampled(prints, len(buf))
-                    keep = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
-                    parts = _halves(prints, first[keep], last[keep], place[keep])
-                    if len(parts[0]):
-                        found[r] = list(zip(*(x.tolist() for x in parts), strict=True))
+            i, digests, packed, found, have = 0, [], [], [], 0
             for r in range(len(table)):
-                t = texts[r].as_py() or b""
-                out.append((base | r, ids[r].as_py(), len(t), hashlib.sha256(t).hexdigest(), pack_(t) if r in found else None, [dict(zip(("name", "whole", "first", "last"), x, strict=True)) for x in found.get(r, ())]))
-                if len(out) == 200 or r == len(table) - 1:
-                    c = list(zip(*out, strict=True))
-                    yield pa.record_batch([pa.array(x, k) for x, k in zip(c, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), _STRETCH), strict=True)], names=["loc", "id", "n_bytes", "digest", "text", "stretches"])
-                    out = []
+                t = buf[off[r]:off[r + 1]]
+                digests.append(hashlib.sha256(t).hexdigest())
+                parts = _repeated_stretches(t, hot) if len(hot) and len(t) >= LENGTH else _NO_STRETCH
+                found.append(parts)
+                packed.append(pack_(t.tobytes()) if len(parts[0]) else None)
+                have += len(parts[0])
+                # a batch of bounded size: what the texts before asked for is let go
+                if have > 100_000 or len(digests) == 2_000 or r == len(table) - 1:
+                    ends = np.cumsum([0, *(len(x[0]) for x in found)])
+                    fields = [pa.array(np.concatenate(c), k) for c, k in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)]
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, names=["name", "whole", "first", "last"]))
+                    cols = [pa.array(base | np.arange(i, r + 1)), ids.slice(i, r + 1 - i), pa.array(np.diff(off[i:r + 2])), pa.array(digests, pa.string()), pa.array(packed, pa.binary()), lists]
+                    yield pa.record_batch(cols, names=["loc", "id", "n_bytes", "digest", "text", "stretches"])
+                    i, digests, packed, found, have = r + 1, [], [], [], 0
 
     return asked.mapInArrow(run, "loc long, id long, n_bytes long, digest string, text binary, stretches array<struct<name:bigint,whole:bigint,first:int,last:int>>")
 
