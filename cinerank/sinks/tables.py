@@ -151,7 +151,8 @@ def compact_keyed(spark: SparkSession, path: str, key: str = "uid") -> int:
     The newest batch may be replayed, so it is left as it is: a replay rewrites only its own
     partition, which holds nothing but its own rows.  The snapshot is a partition of its own
     (an id below all batches, higher for later snapshots), written before the partitions it
-    replaces are removed, so readers find the newest row of every key at each step.
+    replaces are removed.  A reader that has listed files which then go fails: run it while
+    nobody reads, or keep the table as ``versioned.VersionedTable``, which needs no compaction.
     """
     from cinerank.session import remove_path
 
