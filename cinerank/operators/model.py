@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cinerank.functions.recs import recs_array
 from cinerank.operators.ranking import top_n_per_group
-from cinerank.operators.scoring import grid_rmse
+from cinerank.operators.scoring import blocked_predictions, grid_rmse
 from cinerank.operators.similarity import similar_lists, similar_pairs
 from cinerank.operators.topk import pruned_top_k
 from cinerank.session import materialize
@@ -57,13 +57,18 @@ def train_als(
     return als.fit(ratings.select("uid", "mid", "score"))
 
 
-def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
+def predict(model: ALSModel, pairs: DataFrame, method: str = "join") -> DataFrame:
     """``pairs`` (uid, mid, ...) with a ``prediction``; pairs with an unknown user or item are dropped.
 
-    The factor tables are joined directly (the planner picks broadcast or sort-merge from
+    ``method='blocked'`` deals the pairs over blocks of factors (``scoring``): for factor tables
+    too large to broadcast, where the join would carry two vectors with each pair.  ``'join'``: the factor tables are joined directly (the planner picks broadcast or sort-merge from
     their size) and the dot product is a JVM higher-order function in double precision.
     Same rows as ``model.transform`` with ``coldStartStrategy='drop'``, about 4x faster here.
     """
+    if method == "blocked":
+        return blocked_predictions(model, pairs)
+    if method != "join":
+        raise ValueError("method must be 'join' or 'blocked'")
     u = model.userFactors.select(F.col("id").alias("uid"), F.col("features").alias("_u"))
     v = model.itemFactors.select(F.col("id").alias("mid"), F.col("features").alias("_v"))
     dot = F.aggregate(F.zip_with("_u", "_v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)

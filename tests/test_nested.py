@@ -136,3 +136,17 @@ def test_rounded_rerank_keeps_all_decimals(spark):
     edges = spark.createDataFrame([(7, 9, 0.9)], "mid int, rid int, r double")
     plain, rounded = (online.rerank(cands, recents, edges, 0.6, round_to=n).first()["score"] for n in (None, 6))
     assert rounded == pytest.approx(plain, abs=1e-6) and rounded == 2.700044
+
+
+def test_blocked_predictions_as_joined(spark):
+    """All columns, repeated rows, unknown ids and a column called prediction; blocks cut anywhere."""
+    m = fixed(spark, 1)
+    rows = [(i % 60, i % 40, float(i % 5), f"r{i % 7}", -1.0) for i in range(500)] + [(None, 1, 1.0, "x", 0.0), (1, None, 1.0, "x", 0.0), (2, 3, None, "y", 0.0)]
+    pairs = spark.createDataFrame(rows, "uid int, mid int, score double, note string, prediction double")
+    bag = lambda df: sorted((repr([r[c] for c in ("uid", "mid", "score", "note")]), round(r["prediction"], 9)) for r in df.collect())
+    want = bag(model.predict(m, pairs.drop("prediction")))
+    for blocks in (None, (4, 3)):
+        out = scoring.blocked_predictions(m, pairs, blocks=blocks)
+        assert out.columns == ["uid", "mid", "score", "note", "prediction"]
+        assert bag(out) == want
+    assert scoring.blocked_predictions(m, pairs.select("uid", "mid")).columns == ["uid", "mid", "prediction"]
