@@ -478,10 +478,9 @@ def q_als_properties(spark, d):
     below that of predicting the mean."""
     r = stored_ratings(spark, d)
     m = als_model(spark, r)
-    size = lambda f, name: f.agg(F.count(F.lit(1)).alias(f"n_{name}"), F.max(F.size("features")).alias(f"{name}_rank"))
-    spread = r.agg(F.stddev_pop("score").alias("spread"))
-    out = size(m.userFactors, "users").join(size(m.itemFactors, "items"), on=F.lit(True)).join(model.rmse(m, r), on=F.lit(True)).join(spread, on=F.lit(True))
-    return out.select("n_users", "n_items", F.col("users_rank").alias("rank"), (F.col("rmse") < F.col("spread")).alias("beats_mean"))
+    (n_users, rank), (n_items, _) = (f.agg(F.count(F.lit(1)), F.max(F.size("features"))).first() for f in (m.userFactors, m.itemFactors))
+    error, spread = model.rmse(m, r).first()["rmse"], r.agg(F.stddev_pop("score")).first()[0]
+    return spark.createDataFrame([(n_users, n_items, rank, error < spread)], "n_users long, n_items long, rank int, beats_mean boolean")
 
 
 def q_factor_rmse(spark, d):
