@@ -139,6 +139,19 @@ def widened(df: DataFrame, *columns: tuple[str, str]) -> StructType:
     return StructType(df.schema.fields + StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in columns)).fields)
 
 
+def aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns called like one of the names renamed, and the new names by the old ones."""
+    taken, new = {c.lower() for c in df.columns} | set(names), {}
+    for c in df.columns:
+        if c.lower() in names:
+            free = c + "_"
+            while free.lower() in taken:
+                free += "_"
+            taken.add(free.lower())
+            new[c] = free
+    return df.withColumnsRenamed(new), new
+
+
 def settle(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written to the shared folder and read back, and its path.
 

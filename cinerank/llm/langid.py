@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import byte_column, coefficients, fold, mix, pieces, widened, word_hashes, word_spans
+from cinerank.llm.common import aside, byte_column, coefficients, fold, mix, pieces, widened, word_hashes, word_spans
 
 CHAIN, BITS, LEXICON, EPOCHS, BATCH = 64, 16, 300, 2, 256
 #: Labelled rows of each language that fitting may use, and the words taken from them at most.
@@ -262,8 +262,9 @@ def tellable(df: DataFrame, model: Model | None, text: str = "text") -> DataFram
     """
     if model is None:
         return df.where(F.col(text).rlike(r"\p{L}"))
-    told = predict(df.select(F.struct(*df.columns).alias("row"), F.col(text).alias("text")), model)
-    return told.where("lang_pred <> 'und'").select("row.*")
+    own, new = aside(df, "lang_pred", "score")
+    told = predict(own, model, new.get(text, text)).where("lang_pred <> 'und'")
+    return told.select(*(F.col(new.get(c, c)).alias(c) for c in df.columns))
 
 
 def held_out_languages(docs: DataFrame) -> DataFrame:

@@ -73,6 +73,7 @@ def links(rows):
 
 def test_every_link_counts(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "SIDE", 8)
+    monkeypatch.setattr(jaccard, "CLASS_SIDE", 8)
     base = [f"w{i}" for i in range(120)]
     rows = [(k, " ".join(f"x{k}" if i == 3 * k else w for i, w in enumerate(base))) for k in range(40)]
     rows += [(100 + k, " ".join(f"c{i}" for i in range(8 * k, 8 * k + 130))) for k in range(6)]
