@@ -1,10 +1,10 @@
 """The training-data pipeline: five stages over the documents table, each written as Parquet and read again.
 
-Stage by stage: texts whose language can't be told go (``und``: null texts and texts without a letter); of each class
-of near duplicates the document of the smallest id stays; documents into which a benchmark item leaks go; personal
-data becomes keyed surrogates (``n_chars`` follows the new text); texts become byte-level BPE ids.  All stages but the
-last return the columns of documents.  Equal rows stay equal rows, except that near-duplicate removal keeps one of
-them; rows with a null id pass through that stage, for no class can name them.
+Stage by stage: texts whose language can't be told go (null texts and texts without a letter); of each class of near
+duplicates the document of the smallest id stays (null ids last), documents without a word all; documents into which a
+benchmark item leaks go; personal data becomes keyed surrogates (``n_chars`` follows the new text); texts become
+byte-level BPE ids.  All stages but the last return the columns of documents.  Equal rows stay equal rows, except that
+near-duplicate removal keeps one of them.  What one stage wrote goes once the next has written its own.
 """
 
 from __future__ import annotations
@@ -16,20 +16,15 @@ from pyspark.sql import functions as F
 from cinerank.llm import bpe, decontam, jaccard, langid, pii
 from cinerank.llm.common import fold, read
 from cinerank.llm.queries import PII_KEY
-from cinerank.session import materialize
+from cinerank.session import remove_path, scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.fit(docs.where(fold(4) != 2))
-    return langid.predict(docs, model, "text").where("lang_pred <> 'und'").select(*docs.columns)
+    return langid.tellable(docs, langid.fit(docs.where(fold(4) != 2)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class; of rows with the id that stays, one."""
-    classes = jaccard.near_duplicates(docs)
-    stays = classes.where("doc_id = class_id").select("doc_id").distinct()
-    one = docs.join(stays, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null"))
+    return jaccard.representatives(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            remove_path(spark, last)
+        docs, last = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
