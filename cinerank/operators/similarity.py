@@ -63,24 +63,37 @@ def _block_count(n_rows: int, block_rows: int, parallelism: int) -> int:
     return nb
 
 
+def _share_bucket(hashes: np.ndarray | None, ia: np.ndarray, ib: np.ndarray):
+    """Whether two rows have an equal hash in some table; without hashes every pair counts."""
+    if hashes is None:
+        return np.ones(len(ia), bool)
+    hit = np.zeros(len(ia), bool)
+    for table in hashes.T:
+        hit |= table[ia] == table[ib]
+    return hit
+
+
 def _self_pairs_kernel(threshold: float):
+    """Pairs above the threshold of one block or of two; of rows with hashes (``_h``) those that share a bucket."""
+
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pd.DataFrame({"mid": [], "rid": [], "r": []})
         lo, hi = int(pdf["_lo"].iat[0]), int(pdf["_hi"].iat[0])
         ids = pdf["mid"].to_numpy(dtype=np.int64)
         x = _unit(pdf["_u"].to_numpy())
+        hashes = np.stack(pdf["_h"].to_numpy()) if "_h" in pdf else None
         if lo == hi:
             s = x @ x.T
             ia, ib = np.nonzero(s > threshold)
-            keep = ids[ia] != ids[ib]
+            keep = (ids[ia] != ids[ib]) & _share_bucket(hashes, ia, ib)
             ia, ib = ia[keep], ib[keep]
             return pd.DataFrame({"mid": ids[ia].astype(np.int32), "rid": ids[ib].astype(np.int32), "r": s[ia, ib]})
         in_a = pdf["_b"].to_numpy() == lo
         a_ids, b_ids = ids[in_a], ids[~in_a]
         s = x[in_a] @ x[~in_a].T
         ia, ib = np.nonzero(s > threshold)
-        keep = a_ids[ia] != b_ids[ib]
+        keep = (a_ids[ia] != b_ids[ib]) & _share_bucket(hashes, np.flatnonzero(in_a)[ia], np.flatnonzero(~in_a)[ib])
         ia, ib = ia[keep], ib[keep]
         r = s[ia, ib]
         return pd.DataFrame({
@@ -92,6 +105,17 @@ def _self_pairs_kernel(threshold: float):
     return fn
 
 
+def _compared(u: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Each pair of blocks of the rows (mid, _u, and _h if there are hashes) compared inside one task."""
+    n = u.count()
+    nb = _block_count(n, block_rows, u.sparkSession.sparkContext.defaultParallelism)
+    blocked = u.withColumn("_b", F.pmod(F.xxhash64("mid", "_u"), F.lit(nb)).cast("int"))
+    replicated = blocked.select("*", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_k")).select(
+        *u.columns, "_b", F.least("_b", "_k").alias("_lo"), F.greatest("_b", "_k").alias("_hi"),
+    )
+    return replicated.groupBy("_lo", "_hi").applyInPandas(_self_pairs_kernel(threshold), EDGE_SCHEMA)
+
+
 def similar_pairs(
     vectors: DataFrame,
     threshold: float = 0.6,
@@ -109,18 +133,8 @@ def similar_pairs(
     # exact copies of a row would all hash into one block; a pair of items is emitted once,
     # so copies are collapsed first (a partially aggregated distinct, skew-safe)
     u = nonzero_vectors(vectors, id_col, vec_col).dropDuplicates(["mid", "_u"])
-    spark = vectors.sparkSession
-    n = u.count()
-    nb = _block_count(n, block_rows, spark.sparkContext.defaultParallelism)
-    blocked = u.withColumn("_b", F.pmod(F.xxhash64("mid", "_u"), F.lit(nb)).cast("int"))
-    replicated = blocked.select(
-        "mid", "_u", "_b", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_k")
-    ).select(
-        "mid", "_u", "_b",
-        F.least("_b", "_k").alias("_lo"), F.greatest("_b", "_k").alias("_hi"),
-    )
     margin = 10.0 ** (-round_to) if round_to is not None else 0.0
-    pairs = replicated.groupBy("_lo", "_hi").applyInPandas(_self_pairs_kernel(threshold - margin), EDGE_SCHEMA)
+    pairs = _compared(u, threshold - margin, block_rows)
     if round_to is not None:
         pairs = pairs.withColumn("r", F.round("r", round_to)).where(F.col("r") > F.lit(threshold))
     return pairs
@@ -135,28 +149,27 @@ def similar_pairs_lsh(
     num_hash_tables: int = 8,
     seed: int = 7,
     round_to: int | None = None,
+    block_rows: int = 4096,
 ) -> DataFrame:
     """Approximate ``similar_pairs`` by random-projection LSH on unit vectors.
 
-    For unit vectors ``cos > t`` is ``dist < sqrt(2 - 2t)``; Spark's
-    ``approxSimilarityJoin`` finds pairs that share a bucket, so every returned pair is
-    exact but some pairs may be missed.  No block cross product is formed.
+    For unit vectors ``cos > t`` is ``dist < sqrt(2 - 2t)``.  As in Spark's ``approxSimilarityJoin`` the pairs that share a
+    bucket of some table and lie closer are returned, so every returned pair is exact but some may be missed.  Buckets are
+    about as wide as the vectors' projections, so a join on them would make a row for nearly every pair and table: the
+    hashes go with the vectors instead, and a pair above the threshold looks up its own inside the task that compares it.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    u = unit_vectors(vectors, id_col, vec_col).select("mid", array_to_vector("_u").alias("_vec"))
+    u = unit_vectors(vectors, id_col, vec_col).where("mid is not null").dropDuplicates(["mid", "_u"]).withColumn("_vec", array_to_vector("_u"))
     radius = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
     lsh = BucketedRandomProjectionLSH(
-        inputCol="_vec", outputCol="_h", bucketLength=bucket_length or max(radius, 1e-3) * 2,
+        inputCol="_vec", outputCol="_hashes", bucketLength=bucket_length or max(radius, 1e-3) * 2,
         numHashTables=num_hash_tables, seed=seed,
     )
-    model = lsh.fit(u)
-    j = model.approxSimilarityJoin(u, u, radius, distCol="_d")
-    r = (1.0 - F.col("_d") * F.col("_d") / 2.0)
-    out = j.select(F.col("datasetA.mid").alias("mid"), F.col("datasetB.mid").alias("rid"), r.alias("r")).where(
-        F.col("mid") != F.col("rid")
-    )
+    hashed = lsh.fit(u).transform(u)
+    h = F.array(*(vector_to_array(F.col("_hashes")[i])[0] for i in range(num_hash_tables)))
+    out = _compared(hashed.select("mid", "_u", h.alias("_h")), threshold, block_rows)
     if round_to is not None:
         out = out.withColumn("r", F.round("r", round_to))
     return out.where((F.col("r") > F.lit(threshold)) & ~F.isnan("r"))

@@ -64,3 +64,22 @@ def test_copies_are_collapsed_and_blocks_stay_balanced(spark):
     u = similarity.nonzero_vectors(df).dropDuplicates(["mid", "_u"])
     sizes = u.groupBy(F.pmod(F.xxhash64("mid", "_u"), F.lit(4))).count().collect()
     assert max(r["count"] for r in sizes) < 40
+
+
+def test_lsh_equals_the_join_on_buckets_without_making_it(spark):
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((150, 6))
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    got_df = similarity.similar_pairs_lsh(spark.createDataFrame([*rows, rows[4]], "mid int, features array<double>"), 0.5, bucket_length=0.4, num_hash_tables=2, block_rows=40)
+    plan = got_df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    got = {(r.mid, r.rid): r.r for r in got_df.collect()}
+    u = spark.createDataFrame([(i, Vectors.dense(v / np.linalg.norm(v))) for i, v in enumerate(x)], ["id", "v"])
+    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=0.4, numHashTables=2, seed=7).fit(u)
+    joined = lsh.approxSimilarityJoin(u, u, 1.0, distCol="d").selectExpr("datasetA.id a", "datasetB.id b", "d").where("a <> b")
+    want = {(r.a, r.b): 1 - r.d**2 / 2 for r in joined.collect()}
+    assert set(got) == set(want) and len(want) < len(brute(dict(enumerate(x)), 0.5))
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
