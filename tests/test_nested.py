@@ -150,3 +150,27 @@ def test_blocked_predictions_as_joined(spark):
         assert out.columns == ["uid", "mid", "score", "note", "prediction"]
         assert bag(out) == want
     assert scoring.blocked_predictions(m, pairs.select("uid", "mid")).columns == ["uid", "mid", "prediction"]
+
+
+def test_factor_copies_follow_the_ratings(spark, monkeypatch):
+    """However many user blocks there are, no user and no item travels oftener than ratings name it; the errors stay."""
+    m = fixed(spark, 1, users=400, items=200)
+    rng = np.random.default_rng(5)
+    ratings = spark.createDataFrame([(int(rng.integers(0, 400)), int(rng.integers(0, 200)), 3.0) for _ in range(500)], "uid int, mid int, score double")
+    rows, _ = scoring._dealt([m], ratings, F.lit(0), 16, None)  # four users a block
+    n = {r["_side"]: r["count"] for r in rows.groupBy("_side").count().collect()}
+    assert n[0] == 400 and n[1] <= n[2] == 500
+    few, many = (scoring.grid_rmse([m], ratings, block_doubles=d).first()["rmse"] for d in (scoring.BLOCK_DOUBLES, 16))
+    assert few == pytest.approx(many, rel=1e-12)
+    monkeypatch.setattr(scoring, "COPIES", 1 << 20)
+    assert scoring.grid_rmse([m], ratings, block_doubles=16).first()["rmse"] == pytest.approx(few, rel=1e-12)
+
+
+def test_each_group_has_its_own_task(spark):
+    models = [fixed(spark, 1), fixed(spark, 2)]
+    ratings = spark.createDataFrame([(i % 50, i % 30, 1.0) for i in range(500)], "uid int, mid int, score double")
+    rows, per_model = scoring._dealt(models, ratings, F.lit(0), scoring.BLOCK_DOUBLES, (3, 2))
+    held = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("_g").alias("g")).collect()
+    assert per_model == 6 and len(held) == 12 and all(r["g"] == 1 for r in held)
+    # Spark's Arrow writer takes time with the square of a batch for nulls of a list column
+    assert rows.where("_f is null").count() == 0
