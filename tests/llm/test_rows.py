@@ -1,9 +1,11 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing names, and known answers, by operator."""
 
 import base64
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -98,3 +100,23 @@ def test_search_odd_rows(spark):
     got = [(r["query"], r["rank"], r["doc_id"]) for r in search.top_k(docs, queries, k=3).orderBy("query", "rank").collect()]
     assert got == [(9, 1, 1), (9, 2, 2), (9, 3, 2)]
     assert search.top_k(docs.limit(0), queries).count() == 0 and search.top_k(docs, queries.limit(0)).count() == 0
+
+
+def test_search_shard_stays_small():
+    """Building the index of a full shard and searching it takes little memory beside its text."""
+    rng = np.random.default_rng(1)
+    words = np.array([f"w{i}" for i in range(30_000)])
+    texts, size = [], 0
+    while size < search.SHARD:
+        texts.append(" ".join(words[np.minimum(rng.zipf(1.3, 400) - 1, len(words) - 1)]))
+        size += len(texts[-1])
+    table = pa.table({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    row, term, n, _ = search._counts(pa.table({"text": texts[:200]}))
+    tracemalloc.start()
+    try:
+        shard = search.Shard(table, 400.0)
+        shard.search(np.searchsorted(row, np.arange(201)), term, n.astype(float), 3)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 150 << 20
