@@ -90,3 +90,13 @@ def test_plan_ships_items_once_a_block(spark):
     plan = pruned_top_k(users, items, 3)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Window" not in plan
     assert users.select(F.count("*")).first()[0] == 100
+
+
+def test_each_user_block_has_its_own_task(spark):
+    rng = np.random.default_rng(9)
+    rows = lambda n: [(i, [float(x) for x in rng.random(3)]) for i in range(n)]
+    users = spark.createDataFrame(rows(160), "uid int, features array<double>")
+    items = spark.createDataFrame(rows(20), "mid int, features array<double>")
+    out = pruned_top_k(users, items, 2, user_rows=20)
+    held = out.select(F.spark_partition_id().alias("p"), F.pmod(F.xxhash64("uid"), F.lit(8)).alias("b")).distinct().collect()
+    assert len(held) == len({r["p"] for r in held}) == 8
