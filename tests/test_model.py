@@ -74,3 +74,26 @@ def test_item_similarity_lists(spark):
         assert all(x.r > 0.9 and x.rid != r.mid for x in r.recs)
     edges = model.item_similarity(m, 0.9)
     assert edges.count() == sum(len(r.recs) for r in lists)
+
+
+def test_a_fit_of_the_grid_leaves_neither_caches_nor_shuffle_files(spark):
+    rows = [(u, m, float((u * m) % 5 + 1)) for u in range(12) for m in range(9) if (u + m) % 3]
+    ratings = spark.createDataFrame(rows, "uid int, mid int, score double")
+    sc = spark.sparkContext._jsc.sc()
+    held = lambda: (set(sc.getPersistentRDDs().keySet().mkString(",").split(",")), sc.env().mapOutputTracker().shuffleStatuses().size())
+    cached, shuffles = held()
+    fits = []
+
+    def train(data, rank, max_iter, reg, seed):
+        left, n = held()
+        fits.append((left - cached, n - shuffles))
+        return model.train_als(data, rank, max_iter, reg, seed)
+
+    grid = model.tune_als(ratings, (2, 3), (0.1, 0.01), 2, train=train)
+    assert len(fits) == 4 and all(not left for left, _ in fits)
+    assert max(n for _, n in fits) <= 0
+    m = model.train_als(ratings, 2, 2, 0.1, 42)
+    before = m.userFactors.orderBy("id").collect()
+    model.release(m)
+    assert m.userFactors.orderBy("id").collect() == before  # computed again
+    assert grid.count() == 4
