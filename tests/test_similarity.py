@@ -83,3 +83,15 @@ def test_lsh_equals_the_join_on_buckets_without_making_it(spark):
     want = {(r.a, r.b): 1 - r.d**2 / 2 for r in joined.collect()}
     assert set(got) == set(want) and len(want) < len(brute(dict(enumerate(x)), 0.5))
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_a_vector_travels_once_for_each_of_half_the_blocks(spark):
+    rng = np.random.default_rng(13)
+    vecs = {i: rng.normal(size=6) for i in range(200)}
+    df = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in vecs.items()], "mid int, features array<double>")
+    for rows in (10, 30, 1000):
+        got = similarity.similar_pairs(df, 0.4, block_rows=rows)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "FlatMapGroups" not in plan  # blocks stream, no pair of them is loaded whole
+        found = [(r.mid, r.rid) for r in got.collect()]
+        assert sorted(found) == sorted(brute(vecs, 0.4)) and len(found) > 1000
