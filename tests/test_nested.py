@@ -174,3 +174,28 @@ def test_each_group_has_its_own_task(spark):
     assert per_model == 6 and len(held) == 12 and all(r["g"] == 1 for r in held)
     # Spark's Arrow writer takes time with the square of a batch for nulls of a list column
     assert rows.where("_f is null").count() == 0
+
+
+def test_chunks_gathered_as_rows_pass(spark):
+    rng = np.random.default_rng(2)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 4)))], "mid int, features array<float>")
+    ranked = online.ranked_edges(similarity_table(vectors))
+    assert ranked.where("chunk > 1").count()
+    got = similarity.similar_list_chunks(ranked, in_order=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.rindex("MapInArrow")]  # no row of the table is shuffled
+    plain = lambda df: sorted((r["mid"], r["chunk"], [tuple(x) for x in r["recs"]]) for r in df.collect())
+    want = plain(similarity.similar_list_chunks(ranked))
+    assert plain(got) == want
+    for size in (7, 1000):  # lists go on in the next batch
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+        try:
+            assert plain(similarity.similar_list_chunks(ranked, in_order=True)) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def similarity_table(vectors):
+    from cinerank.operators.lookup import SimilarityTable
+
+    return SimilarityTable(vectors, 0.2, 6)
