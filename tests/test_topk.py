@@ -100,3 +100,20 @@ def test_each_user_block_has_its_own_task(spark):
     out = pruned_top_k(users, items, 2, user_rows=20)
     held = out.select(F.spark_partition_id().alias("p"), F.pmod(F.xxhash64("uid"), F.lit(8)).alias("b")).distinct().collect()
     assert len(held) == len({r["p"] for r in held}) == 8
+
+
+@pytest.mark.parametrize("scale", [1e-25, 1.0, 1e14, 1e30])
+def test_single_precision_only_sorts_out(scale):
+    rng = np.random.default_rng(11)
+    x, y = rng.standard_normal((60, 12)) * scale, rng.standard_normal((500, 12))
+    y[250:] = y[:250] * (1 + 1e-9 * rng.standard_normal((250, 1)))  # equal in single precision, not in double
+    norm = np.linalg.norm(y, axis=1)
+    order = np.argsort(-norm)
+    y, norm = y[order], norm[order]
+    b = Block(np.arange(60), x, 5)
+    for i in range(0, 500, 125):
+        b.meet(np.arange(i, i + 125), y[i:i + 125], norm[i:i + 125])
+    want = np.argsort(-(x @ y.T), axis=1, kind="stable")[:, :5]
+    assert (b.items == want).all()
+    assert np.allclose(b.scores, np.take_along_axis(x @ y.T, want, 1), rtol=1e-12, atol=0)
+    assert (b.short.dtype == np.float32) and b.modest == (scale <= 1e14)
